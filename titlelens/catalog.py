@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -32,9 +32,13 @@ class Catalog(Mapping):
     ``cat.title_basics`` and ``cat["title.basics"]`` are the same frame.
     Tables that failed to load are listed in ``missing`` and raise a
     ``MissingTableError`` naming the table when a question touches them.
+    A table may be given as a zero-argument function returning the frame;
+    it is built on first use, so a question only pays for the plans of the
+    tables it reads.
     """
 
-    def __init__(self, frames: Mapping[str, DataFrame], missing: Mapping[str, str] | None = None):
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 missing: Mapping[str, str] | None = None):
         self._frames = {self._canon(k): v for k, v in frames.items()}
         self.missing = dict(missing or {})
 
@@ -50,7 +54,10 @@ class Catalog(Mapping):
         if key not in self._frames:
             why = self.missing.get(key, "not loaded")
             raise MissingTableError(f"catalogue table {key!r} is unavailable: {why}")
-        return self._frames[key]
+        frame = self._frames[key]
+        if not isinstance(frame, DataFrame):
+            frame = self._frames[key] = frame()
+        return frame
 
     def __getattr__(self, attr: str) -> DataFrame:
         if attr.startswith("_"):
@@ -77,7 +84,7 @@ class Catalog(Mapping):
         """Expose every table as a temp view (dots become underscores) so
         ``spark.sql`` can query the catalogue."""
         names = []
-        for key, df in self._frames.items():
+        for key, df in self.items():
             df.createOrReplaceTempView(view_name(key))
             names.append(view_name(key))
         return names
