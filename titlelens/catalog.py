@@ -64,6 +64,8 @@ class Catalog(Mapping):
             raise AttributeError(attr)
         try:
             return self[attr]
+        except MissingTableError:
+            raise
         except KeyError as exc:
             raise AttributeError(str(exc)) from None
 
