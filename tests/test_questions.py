@@ -302,3 +302,11 @@ def test_genre_growth_lag_over_present_decades(make_catalog):
     out = rows(facet_growth_by_decade(cat))
     assert out == [(2000, "Drama", 2, 1, 1), (2020, "Drama", 1, 2, -1), (1990, "Drama", 1, None, None),
                    (2000, "Horror", 1, None, None)]
+
+
+def test_leaders_by_id_keeps_homonyms_apart(make_catalog):
+    out = sorted(rows(leaders_per_facet(_acting(make_catalog), by="id")))
+    assert ("Horror", "c", "Same", 1, 1) in out and ("Horror", "d", "Dee", 1, 1) in out
+    assert ("Drama", "a", "Same", 2, 1) in out and ("Drama", "b", "Other", 2, 1) in out
+    with pytest.raises(ValueError):
+        leaders_per_facet(_acting(make_catalog), by="title")

@@ -41,8 +41,10 @@ def most_credited_people(cat: Catalog, categories=ACTING, title_type: str = "tvE
     counts = _acting_credits(cat, categories).join(titles, "tconst").groupBy("nconst").agg(
         count_rows("episode_count"))
     shortlist = top_n(counts, pool, F.desc("episode_count"), F.asc_nulls_first("nconst"))
-    # Inner join of a <= pool-row side: planned as a broadcast of that side.
-    named = shortlist.join(_names(cat), "nconst").select("nconst", "primaryName", "episode_count")
+    # The shortlist has at most ``pool`` rows (a LIMIT), so broadcasting it is
+    # bounded; the name table is streamed past it without a shuffle.
+    named = _names(cat).join(F.broadcast(shortlist), "nconst").select(
+        "nconst", "primaryName", "episode_count")
     return top_n(named, n, F.desc("episode_count"), F.asc("nconst"))
 
 
@@ -103,16 +105,24 @@ def _movie_genre_credits(cat: Catalog, categories, title_type: str) -> DataFrame
                         keep=["nconst"])
 
 
-def leaders_per_facet(cat: Catalog, k: int = 1, categories=ACTING,
+def leaders_per_facet(cat: Catalog, k: int = 1, by: str = "name", categories=ACTING,
                       title_type: str = MOVIE) -> DataFrame:
-    """Most frequent performers per genre, grouped by *name* (homonyms
-    merge); every tie at dense rank <= k is kept."""
+    """Most frequent performers per genre; every tie at dense rank <= k is
+    kept. ``by="name"`` (default) groups credits by *name*, so homonyms
+    merge; ``by="id"`` keeps people apart and adds their ``nconst``.
+
+    Credits are first counted per (person id, genre) so that a prolific
+    person is one row per genre before the join with names.
+    """
+    if by not in ("name", "id"):
+        raise ValueError("by must be 'name' or 'id'")
     per_person = _movie_genre_credits(cat, categories, title_type).groupBy("nconst", "genre").agg(
         count_rows("n"))
-    per_name = per_person.join(_names(cat), "nconst").groupBy("genre", "primaryName").agg(
+    keys = ["genre", "primaryName"] if by == "name" else ["genre", "nconst", "primaryName"]
+    per_name = per_person.join(_names(cat), "nconst").groupBy(*keys).agg(
         F.sum("n").alias("appearance_count"))
     ranked = top_per_group(per_name, "genre", [F.desc("appearance_count")], k, "dense_rank")
-    return ranked.select("genre", "primaryName", "appearance_count", "rank")
+    return ranked.select(*keys, "appearance_count", "rank")
 
 
 def most_diverse_people(cat: Catalog, n: int = 20, categories=ACTING,

@@ -88,3 +88,9 @@ def write_catalog(catalog: Catalog, path: str, mode: str = "overwrite",
     for table, df in catalog.items():
         out = df.sortWithinPartitions(*KEYS[table]) if sort_within else df
         out.write.mode(mode).parquet(table_path(path, table, "parquet"))
+
+
+def register_views(catalog: Catalog) -> list[str]:
+    """Register every loaded table as a temp view (``title.basics`` ->
+    ``title_basics``) so the catalogue can be queried with ``spark.sql``."""
+    return catalog.register_views()
