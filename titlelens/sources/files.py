@@ -78,16 +78,20 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "tsv", quote: str =
 
 
 def write_catalog(catalog: Catalog, path: str, mode: str = "overwrite",
-                  sort_within: bool = True) -> None:
+                  partitions: int | None = None) -> None:
     """Store every table as Parquet under ``path`` (one directory per table).
 
-    Rows are clustered by the table key inside each file so that Parquet
-    min/max statistics prune row groups for key lookups.
+    With ``partitions`` each table is range-partitioned on its key into that
+    many files (a one-time shuffle), so file and row-group min/max
+    statistics cover disjoint key ranges and key predicates prune them.
+    Without it the input partitioning is kept and rows are only sorted by
+    key inside each file.
     """
     from titlelens.sources.schemas import KEYS
     for table, df in catalog.items():
-        out = df.sortWithinPartitions(*KEYS[table]) if sort_within else df
-        out.write.mode(mode).parquet(table_path(path, table, "parquet"))
+        key = KEYS[table]
+        out = df.repartitionByRange(partitions, *key) if partitions else df
+        out.sortWithinPartitions(*key).write.mode(mode).parquet(table_path(path, table, "parquet"))
 
 
 def register_views(catalog: Catalog) -> list[str]:
