@@ -146,7 +146,16 @@ def name_basics(customer: DataFrame) -> DataFrame:
     ), "name.basics")
 
 
-_DERIVED: dict[tuple[int, str], Catalog] = {}
+# (id(session), dir) -> (session, catalogue). Holding the session keeps its
+# id from being reused by another object while the entry exists.
+_DERIVED: dict[tuple[int, str], tuple[SparkSession, Catalog]] = {}
+
+
+def _alive(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jsc is not None
+    except Exception:
+        return False
 
 
 def derive_catalog(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Catalog:
@@ -157,7 +166,10 @@ def derive_catalog(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Cata
     """
     key = (id(spark), sf_dir.rstrip("/"))
     if reuse and key in _DERIVED:
-        return _DERIVED[key]
+        owner, cat = _DERIVED[key]
+        if owner is spark and _alive(spark):
+            return cat
+        del _DERIVED[key]
     sources: dict[str, DataFrame] = {}
 
     def src(name: str, *cols: str):
@@ -182,5 +194,5 @@ def derive_catalog(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Cata
         "name.basics": lambda: name_basics(customer()),
     })
     if reuse:
-        _DERIVED[key] = cat
+        _DERIVED[key] = (spark, cat)
     return cat
