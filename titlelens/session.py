@@ -37,15 +37,22 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a scratch one only
-    when none is configured (tests and local runs). On a cluster the shared
-    folder named in ``spark.checkpoint.dir`` is always used as is."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the session's checkpoint directory.
+
+    The shared folder named in ``spark.checkpoint.dir`` is always used as is.
+    Only when none is configured *and* the master is local (tests, local
+    benchmarks) is a scratch directory set; on a cluster nothing machine-local
+    is ever used, and ``None`` is returned. (No question needs checkpoints:
+    every plan is a short scan-shuffle-answer lineage.)
+    """
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir()
-    path = tempfile.mkdtemp(prefix="titlelens-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        return None
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="titlelens-ckpt-"))
+    return sc.getCheckpointDir()
