@@ -49,3 +49,12 @@ def test_run_reports_params(spark, make_catalog, tmp_path):
     run_reports(spark, cat, str(tmp_path), ["duplicate_titles"], fmt="parquet",
                 params={"duplicate_titles": {"n": 1}})
     assert rows(spark.read.parquet(str(tmp_path / "duplicate_titles"))) == [("X", 3)]
+
+
+def test_describe_table_and_preview(spark):
+    from titlelens.plans import describe_table, preview
+    df = spark.createDataFrame([(i, str(i)) for i in range(12)], "a int, b string")
+    (r,) = describe_table(df, "t").collect()
+    assert (r.table_name, r.column_count, r.row_count) == ("t", 2, 12)
+    assert r.schema_ddl == "a INT,b STRING"
+    assert preview(df).count() == 5

@@ -42,6 +42,21 @@ def table_profile(df: DataFrame, table: str = "") -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def describe_table(df: DataFrame, table: str = "") -> DataFrame:
+    """One row: table_name, column_count, row_count and the schema as DDL
+    text (the summary part of a schema report; per-column detail is
+    ``table_profile``)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(table).alias("table_name"), F.lit(len(df.columns)).alias("column_count"), "row_count",
+        F.lit(df.schema.toDDL()).alias("schema_ddl"))
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows as a DataFrame (a bounded LIMIT; nothing is
+    collected unless the caller does)."""
+    return df.limit(n)
+
+
 def numeric_stats(df: DataFrame, cols=None, table: str = "") -> DataFrame:
     """count, mean, sample stddev, min and max of numeric columns, one row per
     column (typed, unlike ``describe()`` which returns strings)."""
