@@ -58,3 +58,13 @@ def test_describe_table_and_preview(spark):
     assert (r.table_name, r.column_count, r.row_count) == ("t", 2, 12)
     assert r.schema_ddl == "a INT,b STRING"
     assert preview(df).count() == 5
+
+
+def test_check_session_flags_disabled_skew_handling(spark):
+    from titlelens.session import check_session
+    assert check_session(spark) == []
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert any("skewJoin" in w for w in check_session(spark))
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

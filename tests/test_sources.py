@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from titlelens.catalog import Catalog, MissingTableError
+from titlelens.catalog import MissingTableError
 from titlelens.sources import derive_catalog, read_catalog, read_table, write_catalog, write_report
 from titlelens.sources.schemas import SCHEMAS
 

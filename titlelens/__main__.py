@@ -18,8 +18,10 @@ from pyspark.sql import SparkSession
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("titlelens").getOrCreate()
-    from titlelens.session import ensure_checkpoint_dir
+    from titlelens.session import check_session, ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
+    for warning in check_session(spark):
+        print(f"warning: {warning}", file=sys.stderr)
     return spark
 
 

@@ -56,3 +56,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="titlelens-ckpt-"))
     return sc.getCheckpointDir()
+
+
+# Settings the plans rely on for hot keys, and what goes wrong without them.
+_EXPECTED = {
+    "spark.sql.adaptive.enabled": ("true", "no runtime re-planning: no skew-join splitting, no broadcast "
+                                           "conversion of small runtime sides, no partition coalescing"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "a join key holding a large share of rows is processed "
+                                                    "by a single task"),
+    "spark.sql.exchange.reuse": ("true", "bounded lookups recompute the aggregate below a top-k"),
+}
+
+
+def check_session(spark: SparkSession) -> list[str]:
+    """Warnings for session settings that defeat the plans' skew handling.
+    The caller owns the session; nothing is changed here."""
+    warnings = []
+    for key, (want, consequence) in _EXPECTED.items():
+        got = (spark.conf.get(key, None) or want).lower()
+        if got != want:
+            warnings.append(f"{key}={got}: {consequence}")
+    limit = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if int(limit) < 5:
+        warnings.append("spark.sql.optimizer.windowGroupLimitThreshold < 5: per-group top-k is not cut "
+                        "before the shuffle, a hot group reaches one task whole")
+    return warnings
