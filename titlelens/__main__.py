@@ -40,6 +40,8 @@ def main(argv=None) -> int:
     conv = sub.add_parser("convert")
     conv.add_argument("--catalog", required=True)
     conv.add_argument("--out", required=True)
+    conv.add_argument("--partitions", type=int, default=None,
+                      help="range-partition each table on its key into this many files")
     der = sub.add_parser("derive")
     der.add_argument("--sf-dir", required=True)
     der.add_argument("--out", required=True)
