@@ -24,3 +24,21 @@ def test_cli_derive_run_profile(spark, tmp_path, capsys):
     assert main(["run", "--catalog", cat_dir, "--out", out, "--only", "nope"]) == 1
     assert main(["profile", "--catalog", cat_dir, "--out", str(tmp_path / "profile")]) == 0
     assert glob.glob(str(tmp_path / "profile" / "numeric_stats" / "part-*.csv"))
+
+
+def test_cli_convert_gzipped_dumps(spark, tmp_path):
+    import gzip
+    from titlelens.catalog import TABLES
+    from titlelens.sources import read_catalog
+    from titlelens.sources.schemas import SCHEMAS
+    dumps = tmp_path / "dumps"
+    dumps.mkdir()
+    for t in TABLES:
+        header = "\t".join(f.name for f in SCHEMAS[t].fields)
+        row = "\t".join("x1" if f.dataType.simpleString() == "string" else "\\N" for f in SCHEMAS[t].fields)
+        with gzip.open(dumps / f"{t}.tsv.gz", "wt") as f:
+            f.write(f"{header}\n{row}\n")
+    out = str(tmp_path / "catalog")
+    assert main(["convert", "--catalog", str(dumps), "--out", out, "--suffix", ".tsv.gz", "--partitions", "2"]) == 0
+    cat = read_catalog(spark, out, fmt="parquet", strict=True)
+    assert {t: df.count() for t, df in cat.items()} == {t: 1 for t in TABLES}

@@ -42,6 +42,7 @@ def main(argv=None) -> int:
     conv.add_argument("--out", required=True)
     conv.add_argument("--partitions", type=int, default=None,
                       help="range-partition each table on its key into this many files")
+    conv.add_argument("--suffix", default=None, help="file suffix of the dumps, e.g. .tsv.gz (default .tsv)")
     der = sub.add_parser("derive")
     der.add_argument("--sf-dir", required=True)
     der.add_argument("--out", required=True)
@@ -60,7 +61,8 @@ def main(argv=None) -> int:
     from titlelens.sources import derive_catalog, read_catalog, write_catalog, write_report
     spark = _session()
     if args.cmd == "convert":
-        write_catalog(read_catalog(spark, args.catalog, fmt="tsv", strict=True), args.out)
+        cat = read_catalog(spark, args.catalog, fmt="tsv", strict=True, suffix=args.suffix)
+        write_catalog(cat, args.out, partitions=args.partitions)
     elif args.cmd == "derive":
         write_catalog(derive_catalog(spark, args.sf_dir, reuse=False), args.out)
     elif args.cmd == "profile":
