@@ -29,8 +29,9 @@ DANGLING_TITLE = "tt999999999"
 
 
 def pick(values: str, index: Column) -> Column:
-    """Zero-based element of a comma-separated literal list."""
-    return F.split_part(F.lit(values), F.lit(","), (index + 1).cast("int"))
+    """Zero-based element of a comma-separated literal list (a constant
+    array, folded once at planning time, indexed per row)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values.split(",")]), (index + 1).cast("int"))
 
 
 def _id(prefix: str, key: Column) -> Column:
