@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+# The literal catalogue values the specified questions select on.
 MOVIE = "movie"
+TV_SERIES = "tvSeries"
+TV_EPISODE = "tvEpisode"
 ACTING = ("actor", "actress")
+ENGLISH = ("en",)
 
 
 def count_rows(alias: str):

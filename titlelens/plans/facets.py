@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from titlelens.catalog import Catalog
 from titlelens.functions import decade_floor_of, explode_list
 from titlelens.operators import lag_change, top_n, top_per_group
-from titlelens.plans.common import MOVIE, count_rows, is_type
+from titlelens.plans.common import ENGLISH, MOVIE, count_rows, is_type
 
 
-def localized_language_counts(cat: Catalog, exclude=("en",), n: int = 20,
+def localized_language_counts(cat: Catalog, exclude=ENGLISH, n: int = 20,
                               title_type: str = MOVIE) -> DataFrame:
     """Alternative-title rows per language (other than ``exclude``) on
     titles of ``title_type``. Counts aka rows, not distinct titles.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from titlelens.catalog import Catalog
 from titlelens.functions import explode_list, first_listed
 from titlelens.operators import lookup_bounded, top_n, top_per_group
-from titlelens.plans.common import ACTING, MOVIE, count_rows, is_type
+from titlelens.plans.common import ACTING, MOVIE, TV_EPISODE, count_rows, is_type
 
 
 def _names(cat: Catalog, key: str = "nconst", name: str = "primaryName") -> DataFrame:
@@ -28,7 +28,7 @@ def _acting_credits(cat: Catalog, categories) -> DataFrame:
     return cat.title_principals.where(F.col("category").isin(*categories)).select("tconst", "nconst")
 
 
-def most_credited_people(cat: Catalog, categories=ACTING, title_type: str = "tvEpisode",
+def most_credited_people(cat: Catalog, categories=ACTING, title_type: str = TV_EPISODE,
                          pool: int = 50, n: int = 20) -> DataFrame:
     """People with the most credit rows on titles of ``title_type``.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from titlelens.catalog import Catalog
 from titlelens.operators import top_n
+from titlelens.plans.common import TV_SERIES
 
 
 def avg_children_per_season(cat: Catalog, from_year: int = 1990) -> DataFrame:
@@ -35,7 +36,7 @@ def duplicate_titles(cat: Catalog, n: int = 20) -> DataFrame:
     return top_n(counts.where(F.col("numVersions") > 1), n, F.desc("numVersions"), F.asc("primaryTitle"))
 
 
-def series_by_episode_count(cat: Catalog, n: int = 20, series_type: str = "tvSeries") -> DataFrame:
+def series_by_episode_count(cat: Catalog, n: int = 20, series_type: str = TV_SERIES) -> DataFrame:
     """Series of ``series_type`` with the most episodes. Episodes are
     counted per parent before the join. Ties: series id."""
     counts = cat.title_episode.groupBy("parentTconst").agg(F.count("tconst").alias("numEpisodes"))
