@@ -27,19 +27,31 @@ def numeric_columns(df: DataFrame, types=DEFAULT_NUMERIC, include_decimal: bool
             or (include_decimal and f.dataType.simpleString().startswith("decimal"))]
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_profile(df: DataFrame, table: str = "") -> DataFrame:
     """One row per column: table, column, position, data_type, nullable,
-    row_count, null_count."""
+    row_count, null_count.
+
+    Built as SQL expressions (one global aggregate, then ``stack`` into
+    rows) so that a wide table costs two planner calls, not one per column.
+    """
     fields = df.schema.fields
-    counts = df.agg(F.count(F.lit(1)).alias("row_count"),
-                    *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}") for i, f in enumerate(fields)])
-    rows = F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"),
-                 F.lit(i + 1).alias("position"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                 F.lit(f.nullable).alias("nullable"), F.col("row_count"),
-                 F.col(f"_n{i}").alias("null_count"))
-        for i, f in enumerate(fields)])
-    return counts.select(F.inline(rows))
+    counts = df.selectExpr("count(1) AS row_count",
+                           *[f"count_if({_q(f.name)} IS NULL) AS _n{i}" for i, f in enumerate(fields)])
+    rows = ", ".join(
+        f"{_lit(table)}, {_lit(f.name)}, {i + 1}, {_lit(f.dataType.simpleString())}, "
+        f"{'true' if f.nullable else 'false'}, row_count, _n{i}"
+        for i, f in enumerate(fields))
+    return counts.selectExpr(
+        f"stack({len(fields)}, {rows}) AS (table_name, column_name, position, data_type, nullable, "
+        f"row_count, null_count)")
 
 
 def describe_table(df: DataFrame, table: str = "") -> DataFrame:
@@ -65,16 +77,12 @@ def numeric_stats(df: DataFrame, cols=None, table: str = "") -> DataFrame:
         raise ValueError(f"no numeric columns to summarise in {table or 'frame'}")
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(f"`{c}`")
-        aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).alias(f"_a{i}"), F.stddev_samp(x).alias(f"_s{i}"),
-                 F.min(x).cast("double").alias(f"_lo{i}"), F.max(x).cast("double").alias(f"_hi{i}")]
-    rows = F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                 F.col(f"_c{i}").alias("count"), F.col(f"_a{i}").alias("mean"),
-                 F.col(f"_s{i}").alias("stddev"), F.col(f"_lo{i}").alias("min"),
-                 F.col(f"_hi{i}").alias("max"))
-        for i, c in enumerate(cols)])
-    return df.agg(*aggs).select(F.inline(rows))
+        x = _q(c)
+        aggs += [f"count({x}) AS _c{i}", f"avg({x}) AS _a{i}", f"stddev_samp({x}) AS _s{i}",
+                 f"CAST(min({x}) AS DOUBLE) AS _lo{i}", f"CAST(max({x}) AS DOUBLE) AS _hi{i}"]
+    rows = ", ".join(f"{_lit(table)}, {_lit(c)}, _c{i}, _a{i}, _s{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
+    return df.selectExpr(*aggs).selectExpr(
+        f"stack({len(cols)}, {rows}) AS (table_name, column_name, count, mean, stddev, min, max)")
 
 
 def profile_catalog(cat: Catalog) -> DataFrame:
@@ -95,14 +103,13 @@ def key_violations(cat: Catalog) -> DataFrame:
     count is an aggregation on the key, shuffled by the key."""
     parts = []
     for table, df in sorted(cat.items()):
-        key = [F.col(k) for k in KEYS[table]]
-        any_null = reduce(lambda a, b: a | b, [k.isNull() for k in key])
-        n = F.col("n")
-        per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(per_key.agg(
-            F.coalesce(F.sum(F.when(any_null, n)), F.lit(0)).cast("long").alias("null_keys"),
-            F.count_if(~any_null & (n > 1)).alias("duplicated_keys"),
-            F.coalesce(F.sum(F.when(~any_null & (n > 1), n)), F.lit(0)).cast("long")
-            .alias("rows_with_duplicated_keys"),
-        ).select(F.lit(table).alias("table_name"), "*"))
+        key = [_q(k) for k in KEYS[table]]
+        any_null = " OR ".join(f"{k} IS NULL" for k in key)
+        per_key = df.groupBy(*KEYS[table]).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.selectExpr(
+            f"{_lit(table)} AS table_name",
+            f"CAST(coalesce(sum(CASE WHEN {any_null} THEN n END), 0) AS BIGINT) AS null_keys",
+            f"count_if(NOT ({any_null}) AND n > 1) AS duplicated_keys",
+            f"CAST(coalesce(sum(CASE WHEN NOT ({any_null}) AND n > 1 THEN n END), 0) AS BIGINT) "
+            f"AS rows_with_duplicated_keys"))
     return reduce(DataFrame.unionByName, parts)
