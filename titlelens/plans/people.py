@@ -58,12 +58,14 @@ def improving_creators(cat: Catalog, role: str = "directors", min_votes: int = 1
     previous average (so ``min_steps`` = 3 needs four distinct years), and
     ``avg_rating_trend`` is the mean difference, kept when positive.
 
-    The mean of consecutive differences telescopes: over a run of known
+    The sum of consecutive differences telescopes: over a run of known
     averages it is (last - first). It is computed as such (each row adds
-    +avg if it ends a run, -avg if it starts one), which is exactly the
-    mean of the differences but independent of summation order, so the
-    ranking does not depend on partitioning. The window sorts one row per
-    (creator, year), never the raw credits.
+    +avg if it ends a run, -avg if it starts one), which is mathematically
+    the sum of the differences. When every yearly average is known the only
+    non-zero terms are +last and -first, so the floating-point result is the
+    same for any summation order and the ranking does not depend on
+    partitioning. The window sorts one row per (creator, year), never the
+    raw credits.
     """
     titles = cat.title_basics.where(is_type(title_type)).select("tconst", "startYear")
     rated = cat.title_ratings.where(F.col("numVotes") >= min_votes).select("tconst", "averageRating")
