@@ -119,3 +119,13 @@ def test_derived_catalogue_values(spark):
     assert cat.title_ratings.where("tconst = 'tt9'").count() == 0
     e = cat.title_episode.where("tconst = 'tt28'").collect()[0]
     assert (e.parentTconst, e.seasonNumber, e.episodeNumber) == ("tt2", 2, 3)
+
+
+def test_persisted_catalog_is_opt_in(spark, tsv_dir):
+    cat = read_catalog(spark, tsv_dir)
+    assert not cat.title_basics.is_cached
+    kept = cat.persisted(tables=["title.ratings"])
+    assert kept.title_ratings.is_cached and not kept.title_basics.is_cached
+    assert kept.title_ratings.count() == 2
+    kept.unpersist()
+    assert not kept.title_ratings.is_cached

@@ -82,6 +82,23 @@ class Catalog(Mapping):
             merged[self._canon(key)] = df
         return Catalog(merged, self.missing)
 
+    def persisted(self, storage_level=None, tables=None) -> "Catalog":
+        """A catalogue whose tables (all, or ``tables``) are persisted when
+        first computed (default MEMORY_AND_DISK, so partitions that do not
+        fit in memory spill instead of being recomputed). Opt-in: worth it
+        when many questions run over the same session and the tables fit
+        the cluster's storage memory; ``unpersist`` releases them."""
+        from pyspark import StorageLevel
+        level = storage_level or StorageLevel.MEMORY_AND_DISK
+        chosen = {self._canon(t) for t in tables} if tables else set(self._frames)
+        return Catalog({k: (self[k].persist(level) if k in chosen else self._frames[k])
+                        for k in self._frames}, self.missing)
+
+    def unpersist(self) -> None:
+        for key, frame in self._frames.items():
+            if isinstance(frame, DataFrame):
+                frame.unpersist()
+
     def register_views(self) -> list[str]:
         """Expose every table as a temp view (dots become underscores) so
         ``spark.sql`` can query the catalogue."""
