@@ -11,6 +11,8 @@ from conftest import SF_SMALL
 
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 SQL = contract.oracle_sql()
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +35,10 @@ def test_question_matches_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
     got = [tuple(r[c] for c in cols) for r in df.collect()]
+    rel = duck.sql(SQL[name])
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
     res = duck.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     assert sorted(dcols) == cols
@@ -43,7 +49,7 @@ def test_question_matches_oracle(spark, duck, name):
 
 def test_every_question_registered_and_oracled():
     q = contract.queries()
-    assert len(q) >= 28
+    assert len(q) >= 29
     # only the approximate distinct count has no exact SQL equivalent
     assert set(q) - set(SQL) == {"titles_per_category_approx"}
 

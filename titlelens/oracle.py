@@ -411,6 +411,16 @@ def _key_violations_sql() -> str:
     return "\n" + "\nUNION ALL\n".join(parts)
 
 
+def _tables_sql() -> str:
+    parts = []
+    for table, schema in sorted(SCHEMAS.items()):
+        ddl = ",".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in schema.fields)
+        parts.append(f"SELECT '{table}' AS table_name, CAST({len(schema.fields)} AS INTEGER) AS column_count, "
+                     f"count(*) AS row_count, '{ddl}' AS schema_ddl FROM {table.replace('.', '_')}")
+    return "\n" + "\nUNION ALL\n".join(parts)
+
+
+QUESTIONS_SQL["catalog_tables"] = _tables_sql()
 QUESTIONS_SQL["catalog_profile"] = _profile_sql()
 QUESTIONS_SQL["catalog_numeric_stats"] = _numeric_stats_sql()
 QUESTIONS_SQL["catalog_key_violations"] = _key_violations_sql()

@@ -7,7 +7,7 @@ from titlelens.plans.people import (collaboration_pairs, creators_of_high_rated,
                                     lead_director_genre_counts, leaders_per_facet,
                                     most_credited_people, most_diverse_people,
                                     most_referenced_titles, release_gap_by_creator)
-from titlelens.plans.profile import (describe_table, key_violations, numeric_columns, numeric_stats,
+from titlelens.plans.profile import (describe_catalog, describe_table, key_violations, numeric_columns, numeric_stats,
                                      numeric_stats_catalog, preview, profile_catalog, table_profile)
 from titlelens.plans.ratings import (rating_by_decade, rating_by_facet, top_rated_titles,
                                      top_titles_per_region, votes_by_year_with_running_avg)

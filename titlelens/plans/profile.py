@@ -90,6 +90,11 @@ def profile_catalog(cat: Catalog) -> DataFrame:
     return reduce(DataFrame.unionByName, [table_profile(df, t) for t, df in sorted(cat.items())])
 
 
+def describe_catalog(cat: Catalog) -> DataFrame:
+    """Union of ``describe_table`` over every loaded table."""
+    return reduce(DataFrame.unionByName, [describe_table(df, t) for t, df in sorted(cat.items())])
+
+
 def numeric_stats_catalog(cat: Catalog, types=DEFAULT_NUMERIC) -> DataFrame:
     """Union of ``numeric_stats`` over tables that have numeric columns."""
     parts = [numeric_stats(df, numeric_columns(df, types), t) for t, df in sorted(cat.items())

@@ -54,6 +54,7 @@ _QUESTIONS = [
     Question("most_genre_diverse_people", people.most_diverse_people, "people"),
     Question("directors_of_high_rated", people.creators_of_high_rated, "people"),
     Question("genre_growth_by_decade", facets.facet_growth_by_decade, "facets"),
+    Question("catalog_tables", profile.describe_catalog, "profile"),
     Question("catalog_profile", profile.profile_catalog, "profile"),
     Question("catalog_numeric_stats", profile.numeric_stats_catalog, "profile"),
     Question("catalog_key_violations", profile.key_violations, "profile"),
