@@ -58,3 +58,12 @@ def test_entry_smoke(spark):
     df = contract.entry(spark)
     assert df.columns == ["director_id", "director_name", "avg_rating_trend", "years_with_movies"]
     assert df.count() >= 0
+
+
+def test_approximate_distinct_within_error_bound(spark):
+    q = contract.queries()
+    exact = {r.category: r.distinct_movies for r in q["titles_per_category"](spark, SF_SMALL).collect()}
+    approx = {r.category: r.distinct_movies for r in q["titles_per_category_approx"](spark, SF_SMALL).collect()}
+    assert set(exact) == set(approx)
+    for c, n in exact.items():
+        assert abs(approx[c] - n) <= 3 * 0.05 * n, (c, n, approx[c])
