@@ -129,3 +129,14 @@ def test_persisted_catalog_is_opt_in(spark, tsv_dir):
     assert kept.title_ratings.count() == 2
     kept.unpersist()
     assert not kept.title_ratings.is_cached
+
+
+def test_read_catalog_schema_overrides_and_inference(spark, tsv_dir):
+    from pyspark.sql.types import StringType, StructField, StructType
+    as_text = StructType([StructField(c, StringType()) for c in ("tconst", "averageRating", "numVotes")])
+    cat = read_catalog(spark, tsv_dir, schemas={"title.ratings": as_text})
+    assert cat.title_ratings.schema == as_text
+    assert cat.title_basics.schema == SCHEMAS["title.basics"]
+    inferred = read_catalog(spark, tsv_dir, infer=True)
+    types = {f.name: f.dataType.simpleString() for f in inferred.title_ratings.schema.fields}
+    assert types == {"tconst": "string", "averageRating": "double", "numVotes": "int"}

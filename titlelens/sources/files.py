@@ -60,14 +60,21 @@ def read_table(spark: SparkSession, path: str, table: str, schema: StructType |
 
 
 def read_catalog(spark: SparkSession, path: str, fmt: str = "tsv", quote: str = "",
-                 tables=TABLES, strict: bool = False, suffix: str | None = None) -> Catalog:
+                 tables=TABLES, strict: bool = False, suffix: str | None = None,
+                 schemas: dict | None = None, infer: bool = False) -> Catalog:
     """Read the seven tables. Tables whose files are missing are recorded in
     ``Catalog.missing`` (or raise immediately with ``strict=True``); a
-    question that needs one fails with a message naming it."""
+    question that needs one fails with a message naming it.
+
+    ``schemas`` overrides the declared schema per table name; ``infer=True``
+    infers the schema of every table without an override (an extra pass
+    over each file; declared schemas are the default)."""
     frames, missing = {}, {}
     for table in tables:
         try:
-            df = read_table(spark, path, table, fmt=fmt, quote=quote, suffix=suffix)
+            schema = (schemas or {}).get(table)
+            df = read_table(spark, path, table, schema=schema, fmt=fmt, quote=quote, suffix=suffix,
+                            infer=infer and schema is None)
             df.schema  # resolves the path now, so a missing file is reported here
             frames[table] = df
         except AnalysisException as exc:
