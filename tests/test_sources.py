@@ -140,3 +140,15 @@ def test_read_catalog_schema_overrides_and_inference(spark, tsv_dir):
     inferred = read_catalog(spark, tsv_dir, infer=True)
     types = {f.name: f.dataType.simpleString() for f in inferred.title_ratings.schema.fields}
     assert types == {"tconst": "string", "averageRating": "double", "numVotes": "int"}
+
+
+def test_conform_catalog_try_casts_to_declared_types(spark):
+    from titlelens.catalog import Catalog
+    from titlelens.plans import rating_by_decade
+    from titlelens.sources import conform_catalog
+    basics = spark.createDataFrame([("t1", "1995", "x"), ("t2", "19x5", "y")], "tconst string, startYear string, extra string")
+    ratings = spark.createDataFrame([("t1", "7.5", "10"), ("t2", "8.0", "n/a")], "tconst string, averageRating string, numVotes string")
+    cat = conform_catalog(Catalog({"title.basics": basics, "title.ratings": ratings}))
+    assert cat.title_basics.schema == SCHEMAS["title.basics"]
+    assert rows(cat.title_ratings) == [("t1", 7.5, 10), ("t2", 8.0, None)]
+    assert rows(rating_by_decade(cat)) == [(1990, 7.5, 1)]

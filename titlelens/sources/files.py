@@ -16,6 +16,7 @@ predicate pushdown.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
@@ -105,3 +106,20 @@ def register_views(catalog: Catalog) -> list[str]:
     """Register every loaded table as a temp view (``title.basics`` ->
     ``title_basics``) so the catalogue can be queried with ``spark.sql``."""
     return catalog.register_views()
+
+
+def conform_table(df: DataFrame, table: str) -> DataFrame:
+    """Declared columns, in declared order, with declared types: values that
+    do not convert become null (``try_cast``, as a permissive TSV read does),
+    absent columns are null. Use for inferred schemas or catalogues written
+    by other tools; questions assume declared types (under ANSI mode a text
+    year compared with a number would otherwise raise on a bad value)."""
+    have = set(df.columns)
+    return df.select(*[
+        (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
+        .alias(f.name) for f in SCHEMAS[table].fields])
+
+
+def conform_catalog(catalog: Catalog) -> Catalog:
+    """``conform_table`` applied to every loaded table."""
+    return Catalog({t: conform_table(df, t) for t, df in catalog.items()}, catalog.missing)
