@@ -67,7 +67,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
     spark = local_session()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
     scratch = tempfile.mkdtemp(prefix="titlelens-scale-")
     base = derive_catalog(spark, sf_dir, reuse=False)
     write_catalog(base, f"{scratch}/x1", partitions=8)
