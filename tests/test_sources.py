@@ -152,3 +152,8 @@ def test_conform_catalog_try_casts_to_declared_types(spark):
     assert cat.title_basics.schema == SCHEMAS["title.basics"]
     assert rows(cat.title_ratings) == [("t1", 7.5, 10), ("t2", 8.0, None)]
     assert rows(rating_by_decade(cat)) == [(1990, 7.5, 1)]
+
+
+def test_catalog_repr_lists_loaded_and_missing(spark, tsv_dir):
+    text = repr(read_catalog(spark, tsv_dir))
+    assert text.startswith("Catalog(tables: title.basics, title.ratings; missing: name.basics")

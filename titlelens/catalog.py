@@ -75,6 +75,11 @@ class Catalog(Mapping):
     def __len__(self) -> int:
         return len(self._frames)
 
+    def __repr__(self) -> str:
+        loaded = ", ".join(sorted(self._frames)) or "none"
+        missing = f"; missing: {', '.join(sorted(self.missing))}" if self.missing else ""
+        return f"Catalog(tables: {loaded}{missing})"
+
     def replace(self, **frames: DataFrame) -> "Catalog":
         """A new catalogue with some tables swapped (e.g. persisted copies)."""
         merged = dict(self._frames)
