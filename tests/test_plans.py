@@ -85,3 +85,20 @@ def test_window_trend_reuses_partitioning(spark, parquet_catalog):
 def test_release_gap_has_no_window(parquet_catalog):
     plan = physical(QUESTIONS["release_gap_by_director"](parquet_catalog))
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["non_english_languages", "top_titles_per_region", "most_credited_people"])
+def test_runtime_bloom_filter_prefilters_fact_scans(spark, parquet_catalog, name):
+    # At scale the fact side (credits, alternative titles) exceeds Spark's
+    # application-side threshold; scaled down here so the rule fires.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plan = final_plan(QUESTIONS[name](parquet_catalog))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
