@@ -55,7 +55,8 @@ def main(argv=None) -> int:
 
     if args.cmd == "list":
         for name, q in QUESTIONS.items():
-            print(f"{name}\t{q.section}\t{q.fn.__name__}")
+            doc = " ".join((q.fn.__doc__ or "").split("\n\n")[0].split())
+            print(f"{name}\t{q.section}\t{q.fn.__name__}\t{doc}")
         return 0
 
     from titlelens.sources import derive_catalog, read_catalog, write_catalog, write_report
