@@ -102,3 +102,25 @@ def test_runtime_bloom_filter_prefilters_fact_scans(spark, parquet_catalog, name
         for k in conf:
             spark.conf.unset(k)
     assert "might_contain" in plan and "bloom_filter_agg" in plan
+
+
+# Global windows over bounded domains (decades, genres, years).
+WINDOWED_OVER_AGGREGATES = {"runtime_by_decade", "genre_runtime_ranking", "votes_by_year_running_avg"}
+# Whole-table profiles: global aggregates whose single task merges per-task partials.
+GLOBAL_AGGREGATES = {"catalog_tables", "catalog_profile", "catalog_numeric_stats", "catalog_key_violations"}
+
+
+def test_single_partition_exchanges_only_over_aggregates(parquet_catalog):
+    for name, q in QUESTIONS.items():
+        lines = physical(q(parquet_catalog)).split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            child = lines[i + 1]
+            if name in WINDOWED_OVER_AGGREGATES:
+                # rows are already one per decade / genre / year
+                assert "HashAggregate(keys=[" in child and "keys=[]" not in child, (name, child)
+            elif name in GLOBAL_AGGREGATES:
+                assert "HashAggregate(keys=[], functions=[partial_" in child, (name, child)
+            else:
+                raise AssertionError(f"{name}: unexpected single-partition exchange above {child.strip()}")
