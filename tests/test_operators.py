@@ -56,3 +56,28 @@ def test_list_helpers(spark):
     assert sorted((r.k, r.e) for r in explode_list(df, "l", "e", keep=["k"]).collect()) == [
         ("x", "a"), ("x", "a"), ("x", "b"), ("z", "")]
     assert [r.f for r in df.select(first_listed("l").alias("f")).orderBy("k").collect()] == ["a", None, ""]
+
+
+def test_lookup_bounded_keeps_left_join_semantics(spark):
+    from titlelens.operators import lookup_bounded
+    top = spark.createDataFrame([("a", 3), ("b", 2), (None, 1), ("z", 1)], "k string, n int")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B1"), ("b", "B2"), ("c", "C"), (None, "N")],
+                                "id string, name string")
+    def key(t):
+        return tuple((x is None, "" if x is None else str(x)) for x in t)
+
+    out = sorted(((r.k, r.n, r.name) for r in lookup_bounded(top, dim, "k", "id").collect()), key=key)
+    # every bounded row kept; duplicate dimension keys multiply as in a join;
+    # a null key and a missing key get a null name
+    assert out == sorted([("a", 3, "A"), ("b", 2, "B1"), ("b", 2, "B2"), (None, 1, None), ("z", 1, None)], key=key)
+    inner = sorted((r.k, r.name) for r in lookup_bounded(top, dim, "k", "id", how="inner").collect())
+    assert inner == [("a", "A"), ("b", "B1"), ("b", "B2")]
+
+
+def test_report_sink_max_records_per_file(spark, tmp_path):
+    import glob
+    from titlelens.sources import write_report
+    df = spark.range(100).repartition(1)
+    write_report(df, str(tmp_path / "r"), fmt="parquet", max_records_per_file=30)
+    assert len(glob.glob(str(tmp_path / "r" / "part-*.parquet"))) == 4
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 100
