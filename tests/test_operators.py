@@ -81,3 +81,12 @@ def test_report_sink_max_records_per_file(spark, tmp_path):
     write_report(df, str(tmp_path / "r"), fmt="parquet", max_records_per_file=30)
     assert len(glob.glob(str(tmp_path / "r" / "part-*.parquet"))) == 4
     assert spark.read.parquet(str(tmp_path / "r")).count() == 100
+
+
+def test_top_per_group_rejects_bad_arguments(spark):
+    import pytest
+    df = spark.createDataFrame([("a", 1)], "g string, v int")
+    with pytest.raises(ValueError, match="method"):
+        top_per_group(df, "g", [F.desc("v")], 1, "ntile")
+    with pytest.raises(ValueError, match="k must"):
+        top_per_group(df, "g", [F.desc("v")], 0)

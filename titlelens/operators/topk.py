@@ -31,6 +31,10 @@ def top_per_group(df: DataFrame, partition, order: list[Column], k: int,
     ``rank``/``dense_rank`` keep every tie at the cut; ``row_number`` needs
     an ``order`` that is unique within the group to be deterministic.
     """
+    if method not in _RANKERS:
+        raise ValueError(f"method must be one of {sorted(_RANKERS)}, not {method!r}")
+    if k < 1:
+        raise ValueError(f"k must be at least 1, not {k}")
     parts = [partition] if isinstance(partition, (str, Column)) else list(partition)
     window = Window.partitionBy(*parts).orderBy(*order)
     ranked = df.withColumn(alias, _RANKERS[method]().over(window))
