@@ -10,8 +10,10 @@ dimension table to join twenty rows. ``lookup_bounded`` instead
    scans the dimension once with no shuffle, then
 2. joins the bounded side with those few matching dimension rows.
 
-The bounded side's plan appears twice; its shuffle exchange is identical in
-both branches and is reused, so the expensive part runs once.
+The bounded side's plan appears twice. Its shuffle exchange is identical in
+both branches and is reused (``spark.sql.exchange.reuse``, on by default), so
+the scans, joins and map-side aggregation below it run once; only the
+post-shuffle final aggregation and the top-k read that shuffle output twice.
 """
 
 from __future__ import annotations
