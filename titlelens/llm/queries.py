@@ -24,6 +24,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.quality import quality_report
+
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.decontaminate import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titlelens.llm.packing import pack
 
@@ -31,7 +43,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op8_best_fit_packing)
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op8_best_fit_packing, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
