@@ -13,7 +13,7 @@ from titlelens.llm.common import ALNUM_WORD, ascii_lower
 class Rule(NamedTuple):
     label: str
     priority: int  # of two overlapping detections, one inside the other, the lower or equal one goes
-    keyword: str  # the regex is tried only where the text holds it
+    keyword: str  # the regex is tried only where the text holds this, or one of several parted by |
     regex: str  # over lower-case words parted by one space
     confidence: float
 
@@ -21,72 +21,72 @@ class Rule(NamedTuple):
 # The base phrases of the contract and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Label; a name as it is written in running text; its identifier; a word that every form holds.
+# Label; a name as it is written in running text; its identifier; keywords, of which every form holds one.
 LICENSES = [
     ("mit", r"mit", r"mit", "mit"),
     ("mit-0", r"mit no attribution", r"mit 0", "mit"),
     ("x11", r"x11", r"x11", "x11"),
     ("expat", r"expat", r"expat", "expat"),
     ("apache", r"apache(?: software)?", r"apache [12] [01]", "apache"),
-    ("gpl", r"(?:gnu )?general public|(?:gnu )?gpl", r"gpl [123] 0(?: only| or later)?", "g"),
-    ("lgpl", r"(?:gnu )?(?:lesser|library) general public|(?:gnu )?lgpl", r"lgpl [23] [01](?: only| or later)?", "l"),
-    ("agpl", r"(?:gnu )?affero general public|(?:gnu )?agpl", r"agpl [13] 0(?: only| or later)?", "a"),
-    ("gfdl", r"(?:gnu )?free documentation|(?:gnu )?gfdl", r"gfdl 1 [123](?: only| or later)?", "f"),
-    ("bsd", r"(?:(?:new|modified|simplified|revised|original) )?bsd|berkeley software distribution", r"bsd [1234] clause", "b"),
-    ("isc", r"isc|internet systems consortium", r"isc", "i"),
-    ("mpl", r"mozilla public|mpl", r"mpl [12] [01]", "m"),
-    ("epl", r"eclipse public|epl", r"epl [12] 0", "e"),
-    ("edl", r"eclipse distribution", r"edl 1 0", "e"),
-    ("cddl", r"common development and distribution|cddl", r"cddl 1 [01]", "d"),
-    ("cpl", r"common public|cpl", r"cpl 1 0", "c"),
-    ("ipl", r"ibm public", r"ipl 1 0", "ibm"),
-    ("eupl", r"european union public|eupl", r"eupl 1 [012]", "eu"),
-    ("osl", r"open software", r"osl [123] [01]", "o"),
-    ("afl", r"academic free", r"afl [123] [012]", "a"),
+    ("gpl", r"(?:gnu )?general public|(?:gnu )?gpl", r"gpl [123] 0(?: only| or later)?", "general public|gpl"),
+    ("lgpl", r"(?:gnu )?(?:lesser|library) general public|(?:gnu )?lgpl", r"lgpl [23] [01](?: only| or later)?", "lesser|library general|lgpl"),
+    ("agpl", r"(?:gnu )?affero general public|(?:gnu )?agpl", r"agpl [13] 0(?: only| or later)?", "affero|agpl"),
+    ("gfdl", r"(?:gnu )?free documentation|(?:gnu )?gfdl", r"gfdl 1 [123](?: only| or later)?", "free documentation|gfdl"),
+    ("bsd", r"(?:(?:new|modified|simplified|revised|original) )?bsd|berkeley software distribution", r"bsd [1234] clause", "bsd|berkeley"),
+    ("isc", r"isc|internet systems consortium", r"isc", "isc|internet systems"),
+    ("mpl", r"mozilla public|mpl", r"mpl [12] [01]", "mozilla|mpl"),
+    ("epl", r"eclipse public|epl", r"epl [12] 0", "eclipse|epl"),
+    ("edl", r"eclipse distribution", r"edl 1 0", "eclipse distribution|edl"),
+    ("cddl", r"common development and distribution|cddl", r"cddl 1 [01]", "common development|cddl"),
+    ("cpl", r"common public|cpl", r"cpl 1 0", "common public|cpl"),
+    ("ipl", r"ibm public", r"ipl 1 0", "ibm public|ipl"),
+    ("eupl", r"european union public|eupl", r"eupl 1 [012]", "european union|eupl"),
+    ("osl", r"open software", r"osl [123] [01]", "open software|osl"),
+    ("afl", r"academic free", r"afl [123] [012]", "academic free|afl"),
     ("artistic", r"(?:clarified )?artistic", r"artistic [12] 0", "artistic"),
     ("perl", r"perl", r"perl", "perl"),
-    ("python", r"python software foundation|psf", r"psf 2 0|python 2 0", "p"),
+    ("python", r"python software foundation|psf", r"psf 2 0|python 2 0", "python|psf"),
     ("ruby", r"ruby", r"ruby", "ruby"),
     ("php", r"php", r"php 3 0[01]?", "php"),
     ("zlib", r"zlib(?: libpng)?", r"zlib", "zlib"),
     ("libpng", r"libpng", r"libpng 2 0", "libpng"),
-    ("boost", r"boost(?: software)?", r"bsl 1 0", "b"),
-    ("busl", r"business source|busl", r"busl 1 1", "bus"),
-    ("sspl", r"server side public|sspl", r"sspl 1 0", "s"),
+    ("boost", r"boost(?: software)?", r"bsl 1 0", "boost|bsl"),
+    ("busl", r"business source|busl", r"busl 1 1", "business source|busl"),
+    ("sspl", r"server side public|sspl", r"sspl 1 0", "server side|sspl"),
     ("elastic", r"elastic", r"elastic 2 0", "elastic"),
     ("confluent", r"confluent community", r"confluent 1 0", "confluent"),
     ("commons-clause", r"commons clause", r"commons clause", "commons clause"),
     ("polyform", r"polyform (?:noncommercial|small business|strict|shield)", r"polyform noncommercial 1 0 0", "polyform"),
     ("unlicense", r"unlicense", r"unlicense", "unlicense"),
-    ("wtfpl", r"do what the fuck you want to public|wtfpl", r"wtfpl", "w"),
-    ("cc0", r"cc0|cc zero|creative commons zero", r"cc0 1 0", "cc"),
-    ("cc-by", r"creative commons attribution|cc by", r"cc by [1234] [05]", "c"),
-    ("cc-by-sa", r"creative commons attribution share ?alike|cc by sa", r"cc by sa [1234] [05]", "c"),
-    ("cc-by-nc", r"creative commons attribution non ?commercial|cc by nc", r"cc by nc [1234] [05]", "c"),
-    ("cc-by-nd", r"creative commons attribution no ?deriv(?:ative)?s|cc by nd", r"cc by nd [1234] [05]", "c"),
-    ("cc-by-nc-sa", r"creative commons attribution non ?commercial share ?alike|cc by nc sa", r"cc by nc sa [1234] [05]", "c"),
-    ("cc-by-nc-nd", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s|cc by nc nd", r"cc by nc nd [1234] [05]", "c"),
-    ("odbl", r"open database|odbl", r"odbl 1 0", "od"),
-    ("odc-by", r"open data commons attribution", r"odc by 1 0", "od"),
-    ("pddl", r"public domain dedication and|pddl", r"pddl 1 0", "p"),
-    ("ofl", r"sil open font|open font", r"ofl 1 [01]", "o"),
-    ("ms-pl", r"microsoft public", r"ms pl", "m"),
-    ("ms-rl", r"microsoft reciprocal", r"ms rl", "m"),
+    ("wtfpl", r"do what the fuck you want to public|wtfpl", r"wtfpl", "what the fuck|wtfpl"),
+    ("cc0", r"cc0|cc zero|creative commons zero", r"cc0 1 0", "cc0|cc zero|commons zero"),
+    ("cc-by", r"creative commons attribution|cc by", r"cc by [1234] [05]", "commons attribution|cc by"),
+    ("cc-by-sa", r"creative commons attribution share ?alike|cc by sa", r"cc by sa [1234] [05]", "commons attribution|cc by sa"),
+    ("cc-by-nc", r"creative commons attribution non ?commercial|cc by nc", r"cc by nc [1234] [05]", "commons attribution|cc by nc"),
+    ("cc-by-nd", r"creative commons attribution no ?deriv(?:ative)?s|cc by nd", r"cc by nd [1234] [05]", "commons attribution|cc by nd"),
+    ("cc-by-nc-sa", r"creative commons attribution non ?commercial share ?alike|cc by nc sa", r"cc by nc sa [1234] [05]", "commons attribution|cc by nc sa"),
+    ("cc-by-nc-nd", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s|cc by nc nd", r"cc by nc nd [1234] [05]", "commons attribution|cc by nc nd"),
+    ("odbl", r"open database|odbl", r"odbl 1 0", "open database|odbl"),
+    ("odc-by", r"open data commons attribution", r"odc by 1 0", "open data|odc by"),
+    ("pddl", r"public domain dedication and|pddl", r"pddl 1 0", "public domain dedication|pddl"),
+    ("ofl", r"sil open font|open font", r"ofl 1 [01]", "open font|ofl"),
+    ("ms-pl", r"microsoft public", r"ms pl", "microsoft|ms pl"),
+    ("ms-rl", r"microsoft reciprocal", r"ms rl", "microsoft|ms rl"),
     ("ncsa", r"university of illinois ncsa open source|ncsa", r"ncsa", "ncsa"),
     ("openssl", r"openssl", r"openssl", "openssl"),
     ("postgresql", r"postgresql", r"postgresql", "postgresql"),
     ("curl", r"curl", r"curl", "curl"),
     ("vim", r"vim", r"vim", "vim"),
     ("w3c", r"w3c(?: software)?", r"w3c", "w3c"),
-    ("zpl", r"zope public|zpl", r"zpl [12] [01]", "z"),
+    ("zpl", r"zope public|zpl", r"zpl [12] [01]", "zope|zpl"),
     ("sleepycat", r"sleepycat", r"sleepycat", "sleepycat"),
-    ("upl", r"universal permissive", r"upl 1 0", "u"),
-    ("hpnd", r"historical permission notice and disclaimer", r"hpnd", "h"),
-    ("bluesky-oak", r"blue oak model", r"blueoak 1 0 0", "blue"),
+    ("upl", r"universal permissive", r"upl 1 0", "universal permissive|upl"),
+    ("hpnd", r"historical permission notice and disclaimer", r"hpnd", "historical permission|hpnd"),
+    ("blue-oak", r"blue oak model", r"blueoak 1 0 0", "blue oak|blueoak"),
     ("cecill", r"cecill(?: [abc])?", r"cecill [12] [01]", "cecill"),
     ("mulan", r"mulan (?:psl|permissive software)", r"mulanpsl 2 0", "mulan"),
     ("beerware", r"beer ?ware", r"beerware", "beer"),
-    ("openrail", r"(?:creativeml )?open ?rail(?: m)?", r"openrail", "rail"),
+    ("openrail", r"(?:creativeml )?open ?rail(?: m)?", r"openrail", "openrail|open rail"),
     ("llama", r"llama [234](?: [0123])? community", r"llama", "llama"),
     ("gemma", r"gemma terms of use", r"gemma", "gemma"),
 ]
@@ -128,7 +128,7 @@ def rules() -> list[Rule]:
     return out
 
 
-# A text with none of these has no detection: every rule needs one.
+# The prefilter: a text that holds none of these is not scanned.
 GATE = ("licen", "spdx", "copyright", "permission", "redistribution", "public domain", "all rights reserved", "confidential",
         "free software", "neither the name", "merchantability", "as is", "without", "released", "distributed", "available",
         "provided", "published", "covered", "governed")
@@ -169,9 +169,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         gate = gate | F.contains("s", F.lit(word))
     base = F.when(F.contains("s", F.lit(" license ")), _spans(F.col("s"), "|".join(BASE)))
     rule_array = F.array(*(F.struct(F.lit(i).alias("no"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
-                                    F.lit(r.keyword).alias("keyword"), F.lit(r.regex).alias("regex"),
+                                    F.array(*map(F.lit, r.keyword.split("|"))).alias("keywords"), F.lit(r.regex).alias("regex"),
                                     F.lit(r.confidence).alias("confidence")) for i, r in enumerate(table)))
-    tried = F.filter(rule_array, lambda r: F.contains("s", r["keyword"]) & F.rlike("s", F.concat(F.lit(" ("), r["regex"], F.lit(") "))))
+    tried = F.filter(rule_array, lambda r: F.exists(r["keywords"], lambda k: F.contains("s", k)) & F.rlike("s", F.concat(F.lit(" ("), r["regex"], F.lit(") "))))
     df = df.select("doc_id", "s", n_words.cast("long").alias("n_words"), base.alias("base"), F.when(gate, tried).alias("tried"))
     found = F.flatten(F.transform("tried", lambda r: F.transform(_spans(F.col("s"), r["regex"]), lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("before"), (-r["priority"]).alias("rank"), r["no"].alias("no"),

@@ -30,6 +30,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titlelens.llm.decontaminate import decontaminate
 
@@ -43,7 +49,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op8_best_fit_packing, op10_decontaminate)
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
