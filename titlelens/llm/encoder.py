@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 # Fixed value: the split rule of word-level BPE vocabularies that drop white space.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = re.compile(rb"[!-~]+").fullmatch
+# Latin letters that are their own NFC form and lower-case one to one.
+_LETTERS = "À-ÖØ-öø-įı-ž"
+_LATIN_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z{_LETTERS}0-9]+")
+_LATIN = re.compile(rf"[!-~{_LETTERS}]+").fullmatch
 
 
 class _Words(dict):
@@ -20,18 +25,23 @@ class _Words(dict):
     def __init__(self, tok: Tokenizer, dtype: str):
         super().__init__()
         self.tok, self.dtype, self.model, self.pieces = tok, dtype, tok.model, {}
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # The library's own spelling of bytes, letter by letter.
+        self.spell = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x17F)}
 
     def __missing__(self, word: bytes) -> bytes:
-        if b"<|" in word or not _PRINTABLE(word):  # added tokens and other scripts: the library's whole path
-            ids = self.tok.encode(word.decode(), add_special_tokens=False).ids
+        text = word.decode()
+        if b"<|" in word or not _LATIN(text):  # added tokens and other scripts: the library's whole path
+            out = np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         else:
-            ids = []
-            for piece in _ASCII_SPLIT.findall(word.decode().lower()):
+            out = b""
+            for piece in _LATIN_SPLIT.findall(text.lower()):
                 got = self.pieces.get(piece)
                 if got is None:
-                    got = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
-                ids += got
-        out = self[word] = np.array(ids, self.dtype).tobytes()
+                    ids = [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.spell))]
+                    got = self.pieces[piece] = np.array(ids, self.dtype).tobytes()
+                out += got
+        self[word] = out
         return out
 
 
@@ -43,7 +53,7 @@ class Encoder:
     of them at a time; other vocabularies encode the text as it is.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
@@ -70,3 +80,15 @@ class Encoder:
             self.words.pieces.clear()
         # bytes.split() splits at ASCII white space only; the rest stays inside a word.
         return np.frombuffer(b"".join(map(self.words.__getitem__, text.encode().split())), self.dtype)
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python process: tasks that follow each other in one
+    worker share it and the words it has met."""
+    kept = sys.modules.setdefault("_titlelens_worker", types.ModuleType("_titlelens_worker"))
+    found = getattr(kept, "encoders", None)
+    if found is None:
+        found = kept.encoders = {}
+    if path not in found:
+        found[path] = Encoder(path)
+    return found[path]

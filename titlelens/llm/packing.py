@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlelens.llm.common import cut
-from titlelens.llm.encoder import Encoder
+from titlelens.llm.encoder import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 _PACKED = _PIECES + ", part int, bin long, at long, fill long"
@@ -26,7 +26,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc = Encoder(tokenizer)
+        enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype)
         uid = TaskContext.get().partitionId() << 36
         for batch in batches:

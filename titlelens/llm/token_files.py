@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from titlelens.llm import elias_fano
 from titlelens.llm.common import fresh_path
-from titlelens.llm.encoder import Encoder
+from titlelens.llm.encoder import encoder
 
 MAGIC = b"TLIDS001"
 #: id bytes; documents; ids; documents without id; smallest id; places of the two sequences; magic
@@ -88,7 +88,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         shard = TaskContext.get().partitionId()
         fs, root = _filesystem(path)
         final, temp = f"{root}/shard-{shard:06d}.ids", f"{root}/.shard-{shard:06d}.{uuid.uuid4().hex}"
-        enc, out, ids, lengths = Encoder(tokenizer), None, [], []
+        enc, out, ids, lengths = encoder(tokenizer), None, [], []
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
             if out is None and batch.num_rows:
