@@ -63,10 +63,6 @@ def text_key(c: Column) -> Column:
     return F.coalesce(F.xxhash64(c), F.lit(0))
 
 
-def count_rows(df: DataFrame) -> int:
-    return df.count()
-
-
 def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph as ``(node, component)``, component
     being the smallest node reachable; nodes without an edge do not appear.
@@ -92,7 +88,7 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = cut(small, f"{name}-small")
         # The contraction has settled when the edges form stars: no centre is itself a leaf, no leaf has two centres.
-        stats = e.agg(F.count("*").alias("n"), F.count_distinct("u").alias("leaves"), F.sum("v").cast("string").alias("s")).first()
+        stats = e.agg(F.count("*").alias("n"), F.count_distinct("u").alias("leaves"), F.sum(F.xxhash64("v").cast("decimal(20,0)")).alias("s")).first()
         chained = e.select("u").join(e.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count()
         if stats["n"] == stats["leaves"] and not chained:
             break

@@ -42,6 +42,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.ngram_join import similarity_groups
+
+    return similarity_groups(table(spark, sf_dir, "documents"), n=3, percent=90).drop("text_key")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), size=50).drop("text_key")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titlelens.llm.packing import pack
 
@@ -49,7 +61,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_ngram_jaccard_join, op7_substring_dedup, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
