@@ -53,7 +53,7 @@ class Encoder:
     of them at a time; other vocabularies encode the text as it is.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 200_000):
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
@@ -75,7 +75,7 @@ class Encoder:
             return np.zeros(0, self.dtype)
         if self.words is None:
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
-        if len(self.words) > self.max_words:
+        if max(len(self.words), len(self.words.pieces)) > self.max_words:
             self.words.clear()
             self.words.pieces.clear()
         # bytes.split() splits at ASCII white space only; the rest stays inside a word.

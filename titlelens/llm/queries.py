@@ -8,6 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+# For the synthetic tables; a caller passes a secret of their own.
+SURROGATE_KEY = "synthetic-documents"
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -48,6 +52,25 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_groups(table(spark, sf_dir, "documents"), n=3, percent=90).drop("text_key")
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.pii import replace_entities
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.language import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.line_dedup import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titlelens.llm.substring import remove_repeats
 
@@ -61,7 +84,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_ngram_jaccard_join, op7_substring_dedup, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_ngram_jaccard_join, op4_pii_surrogates, op5_language_id, op6_line_dedup, op7_substring_dedup, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
