@@ -176,7 +176,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = F.flatten(F.transform("tried", lambda r: F.transform(_spans(F.col("s"), r["regex"]), lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("before"), (-r["priority"]).alias("rank"), r["no"].alias("no"),
         r["label"].alias("label"), r["confidence"].alias("confidence")))))
-    words_of = lambda x: F.array_join(F.slice(F.split(F.trim("s"), " "), x["start"] + 1, x["end"] - x["start"]), " ")
+    df = df.select("*", F.when(F.size("base") > 0, F.split(F.trim("s"), " ")).alias("words"))
+    words_of = lambda x: F.array_join(F.slice("words", x["start"] + 1, x["end"] - x["start"]), " ")
     label = lambda x: F.coalesce(*(F.when(words_of(x) == p, v) for p, v in BASE.items()))
     df = df.select("doc_id", "n_words", "base", F.array_sort(F.array_distinct(F.transform("base", label))).alias("base_labels"),
                    F.sort_array(found).alias("found"))
