@@ -31,7 +31,7 @@ def test_given_documents(spark):
         assert re.split(ALL, text) == re.split(ALL, got[i].text)
         for a, b in zip(old, new, strict=True):
             assert a not in got[i].text and pairs.setdefault(a, b) == b and a != b
-    assert len(set(pairs.values())) == len(pairs) > 20 and not set(pairs) & set(pairs.values())
+    assert len(set(pairs.values())) == len(pairs) > 10 and not set(pairs) & set(pairs.values())
 
 
 def test_formats_and_coreference(spark):

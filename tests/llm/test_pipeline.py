@@ -1,0 +1,136 @@
+"""The pipeline against the plain versions, stage by stage."""
+
+import importlib
+import sys
+from collections import Counter
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import brute
+import corpus_pipeline
+from test_line_dedup import plain
+from titlelens.llm.queries import vocabulary
+
+SF = "/root/testdata/sf0.001"
+
+
+def read(name, *cols):
+    return list(zip(*(c.to_pylist() for c in pq.read_table(f"{SF}/{name}.parquet", columns=list(cols)).columns), strict=True))
+
+
+def expected_documents():
+    docs = [(r[0], dict(read("documents", "doc_id", "text"))[r[0]]) for r in brute.quality(read("documents", "doc_id", "text")) if not r[6]]
+    left = plain(docs, 10)
+    docs = [(i, left[i]) for i, _ in docs if left[i]]
+    docs = [d for d, (i, n, c) in zip(docs, brute.components(docs, 5, 80), strict=True) if n == 0 or i == c]
+    bad = {r[0] for r in brute.contaminated(docs, read("benchmark", "item_id", "text")) if r[5]}
+    return [d for d in docs if d[0] not in bad]
+
+
+def test_whole_pipeline(spark):
+    # no host of this table is flagged, so that quality is the base rules
+    want, tok = expected_documents(), Tokenizer.from_file(vocabulary())
+    pieces = []
+    for i, text in want:
+        ids = tok.encode(text, add_special_tokens=False).ids + [1]
+        pieces += [(i, k, a, len(ids[a:a + 4096]), brute.crc_ids(ids[a:a + 4096])) for k, a in enumerate(range(0, len(ids), 4096))]
+    got = contract.queries()["pipeline"](spark, SF).collect()
+    assert sorted(tuple(r)[:5] for r in got) == sorted(pieces)
+    fill = Counter()
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill[r.sequence_id]
+        fill[r.sequence_id] += r.length
+    assert max(fill.values()) <= 4096
+
+
+def test_stages_keep_columns_and_take_odd_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_copies", "decontamination", "packing"]
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "x " * 60, None, "s", 120)], docs.schema)
+    for df in (docs.limit(0), odd):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, df, SF).columns == docs.columns
+            stage(spark, df, SF).collect()
+        assert corpus_pipeline.packing(spark, df, SF).count() == df.count()
+
+
+def test_registered_queries():
+    names = list(contract.queries())
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+@pytest.mark.parametrize("size", [0, 1, 7, 300, 5000])
+def test_elias_fano(size):
+    from titlelens.llm import elias_fano
+
+    rng = np.random.default_rng(size)
+    for top in (1, 100, 10 ** 6, 1 << 62):
+        values = np.sort(rng.integers(0, top, size).astype(np.uint64))
+        seq = elias_fano.Sequence(elias_fano.encode(values))
+        assert np.array_equal(seq.select(0, size), values)
+        for i in rng.integers(0, size, 20 if size else 0).tolist():
+            assert seq[i] == values[i]
+            j = int(rng.integers(i, size))
+            assert np.array_equal(seq.select(i, j), values[i:j])
+    with pytest.raises(ValueError):
+        elias_fano.encode(np.array([2, 1], np.uint64))
+
+
+def test_lower_bound_never_exceeds_a_packing():
+    from titlelens.llm.packing import best_fit_decreasing, lower_bound
+
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        sizes = rng.integers(1, int(rng.integers(2, 101)), int(rng.integers(0, 60)))
+        bins, at, fills = best_fit_decreasing(sizes, 100)
+        assert lower_bound(sizes, 100) <= len(fills) and fills.sum() == sizes.sum() and fills.max(initial=0) <= 100
+        for b in range(len(fills)):
+            inside = sorted(zip(at[bins == b], sizes[bins == b], strict=True))
+            assert [a for a, _ in inside] == [sum(s for _, s in inside[:k]) for k in range(len(inside))]
+    assert lower_bound(np.array([51] * 7), 100) == 7 and lower_bound(np.array([34] * 6), 100) == 3
+
+
+def test_token_files_and_packing_of_odd_rows(spark):
+    from titlelens.llm.packing import pack
+    from titlelens.llm.token_files import TokenFile, token_files
+
+    tok = Tokenizer.from_file(vocabulary())
+    long = "Élan vital naïve <|endoftext|> it's 1234 … " * 3000
+    data = [(5, "b"), (None, "null id"), (3, None), (3, ""), (5, "b"), (-7, long), (1 << 62, "far"), (None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string").selectExpr("doc_id", "1 as id", "text", "2 as length", "3 as h")
+    ids = lambda t, end: tok.encode(t or "", add_special_tokens=False).ids + [end]
+    got = sorted(map(tuple, token_files(df, vocabulary()).collect()), key=lambda r: r[1])
+    assert Counter((i, n, c) for i, _, n, c in got) == Counter((i, len(ids(t, 2)), brute.crc_ids(ids(t, 2))) for i, t in data)
+    assert [r[1] for r in got] == [sum(r[2] for r in got[:k]) for k in range(len(got))]
+    assert [r[0] for r in got] == [None, None, -7, 3, 3, 5, 5, 1 << 62]
+    packed = pack(df, vocabulary(), part_pieces=3).collect()
+    assert sum(r.length for r in packed) == sum(len(ids(t, 1)) for _, t in data)
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in packed) == Counter(
+        (i, k, brute.crc_ids(ids(t, 1)[a:a + 4096])) for i, t in data for k, a in enumerate(range(0, len(ids(t, 1)), 4096)))
+    assert token_files(df.limit(0), vocabulary()).count() == pack(df.limit(0), vocabulary()).count() == 0
+    assert TokenFile is not None
+
+
+def test_random_access_to_a_token_file(spark, tmp_path):
+    from titlelens.llm.token_files import TokenFile, write_token_files
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    shards = write_token_files(docs, f"file://{tmp_path}/ids", vocabulary(), 2, shards=3).collect()
+    tok, text = Tokenizer.from_file(vocabulary()), dict(read("documents", "doc_id", "text"))
+    for s in shards:
+        f = TokenFile(s.uri)
+        for i in (0, f.n_docs // 2, f.n_docs - 1):
+            [doc] = f.doc_ids(i, i + 1)
+            assert f.document(i).tolist() == tok.encode(text[doc], add_special_tokens=False).ids + [2]
+
+
+def test_entry_without_the_subpackage(monkeypatch):
+    for name in [m for m in sys.modules if m.startswith("titlelens.llm") or m in ("corpus_pipeline", "__spark_entry__")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "titlelens.llm", None)
+    alone = importlib.import_module("__spark_entry__")
+    assert alone.llm_queries is None and len(alone.queries()) >= 29 and "pipeline" not in alone.queries()

@@ -50,14 +50,16 @@ def kind_of(entity: Column) -> Column:
     return out
 
 
-def entities(text: Column) -> Column:
-    """All entities of a text in order, as ``(kind, entity)``; null if there are none."""
-    found = F.regexp_extract_all(text, F.lit(f"({ALL})"), F.lit(1))
-    before = F.split(text, ALL, -1)
-    named = lambda titles, i: F.get(before, i).rlike(rf"\b(?:{titles})\.? $")
+def with_entities(df: DataFrame, text: str, found: str, gaps: str) -> DataFrame:
+    """Adds ``found``, all entities of a text in order as ``(kind, entity)``, and ``gaps``,
+    what stands before, between and after them; both null for a null text."""
+    df = df.withColumns({found: F.regexp_extract_all(text, F.lit(f"({ALL})"), F.lit(1)), gaps: F.split(text, ALL, -1)})
+    # What decides the kind is near the entity: titles are short.
+    df = df.withColumn(gaps + "_ends", F.transform(gaps, lambda x: F.substr(x, F.greatest(F.char_length(x) - 12, F.lit(1)))))
+    titled = lambda titles, i: F.get(gaps + "_ends", i).rlike(rf"\b(?:{titles})\.? $")
     kind = lambda x, i: F.coalesce(
-        F.when(named(_HE, i), "he").when(named(_SHE, i), "she").when(named(_ANY, i), "they"), kind_of(x), F.lit("secret"))
-    return F.transform(found, lambda x, i: F.struct(kind(x, i).alias("kind"), x.alias("entity")))
+        F.when(titled(_HE, i), "he").when(titled(_SHE, i), "she").when(titled(_ANY, i), "they"), kind_of(x), F.lit("secret"))
+    return df.withColumn(found, F.transform(found, lambda x, i: F.struct(kind(x, i).alias("kind"), x.alias("entity")))).drop(gaps + "_ends")
 
 
 def _digest(key: str, *parts: Column) -> Column:
@@ -173,20 +175,21 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     text = F.col(text_col)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "n_entities")).alias("__row")
     rows = docs.select(row, F.col(id_col).alias("__id"), text_key(text).alias("__key"), F.when(F.rlike(text, F.lit(GATE)), text).alias("__text"))
-    found = rows.where("__text is not null").select("__id", "__key", F.explode(entities(F.col("__text"))).alias("x")).select("__id", "__key", "x.*")
+    found = with_entities(rows.where("__text is not null").select("__id", "__key", "__text"), "__text", "__found", "__gaps")
+    # explode() would add a filter that the optimizer moves below, copying the texts' split into the lambda.
+    found = found.select("__id", "__key", F.explode_outer("__found").alias("x")).where("x is not null").select("__id", "__key", "x.*")
     found = cut(found, "entities-of-documents")
     again = resolve(found, key)
     retried = found.join(again, ["kind", "entity"]).groupBy(F.col("__id").alias("__i"), F.col("__key").alias("__k")).agg(
         F.map_from_entries(F.collect_set(F.struct(F.concat_ws(":", "kind", "entity"), "attempt"))).alias("__again"))
     joined = rows.join(retried, [rows["__id"].eqNullSafe(retried["__i"]), rows["__key"] == retried["__k"]], "left")
-    joined = joined.select("__row", "__text", "__again", entities(F.col("__text")).alias("__found"))
-    gaps = F.split(F.col("__text"), ALL, -1)
+    joined = with_entities(joined.select("__row", "__text", "__again"), "__text", "__found", "__gaps")
 
     def put(x: Column, i: Column) -> Column:
-        attempt = F.coalesce(F.col("__again").getItem(F.concat_ws(":", x["kind"], x["entity"])), F.lit(0))
-        return F.concat(surrogate(key, x["kind"], x["entity"], attempt), F.get(gaps, i + 1))
+        attempt = F.coalesce(F.col("__again")[F.concat_ws(":", x["kind"], x["entity"])], F.lit(0))
+        return F.concat(surrogate(key, x["kind"], x["entity"], attempt), F.get("__gaps", i + 1))
 
-    changed = F.when(F.size("__found") > 0, F.concat(F.get(gaps, F.lit(0)), F.array_join(F.transform("__found", put), "")))
+    changed = F.when(F.size("__found") > 0, F.concat(F.get("__gaps", F.lit(0)), F.array_join(F.transform("__found", put), "")))
     n = F.when(F.col("__found").isNull(), 0).otherwise(F.size("__found")).cast("long")
     return joined.select(F.col("__row").withField(text_col, F.coalesce(changed, F.col(f"__row.{text_col}"))).alias("__row"),
                          n.alias("n_entities")).select("__row.*", "n_entities")
