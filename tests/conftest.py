@@ -14,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    from titlelens.session import DEFAULT_CONF, ensure_checkpoint_dir
+    from titlelens.session import DEFAULT_CONF
     builder = (SparkSession.builder.master("local[*]")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.driver.memory", "4g"))
@@ -22,7 +22,6 @@ def spark():
         builder = builder.config(k, v)
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
     yield s
 
 

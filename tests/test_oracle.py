@@ -7,10 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from titlelens.plans.facets import titles_per_category
+from titlelens.sources import derive_catalog
 from conftest import SF_SMALL
+from titlelens.plans.registry import QUESTIONS
 
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-SQL = contract.oracle_sql()
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in QUESTIONS}
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE",
                  "string": "VARCHAR", "boolean": "BOOLEAN"}
 
@@ -49,9 +52,8 @@ def test_question_matches_oracle(spark, duck, name):
 
 def test_every_question_registered_and_oracled():
     q = contract.queries()
-    assert len(q) >= 29
-    # only the approximate distinct count has no exact SQL equivalent
-    assert set(q) - set(SQL) == {"titles_per_category_approx"}
+    assert len(QUESTIONS) >= 32 and set(QUESTIONS) <= set(q)
+    assert set(SQL) == set(QUESTIONS)
 
 
 def test_entry_smoke(spark):
@@ -61,9 +63,9 @@ def test_entry_smoke(spark):
 
 
 def test_approximate_distinct_within_error_bound(spark):
-    q = contract.queries()
-    exact = {r.category: r.distinct_movies for r in q["titles_per_category"](spark, SF_SMALL).collect()}
-    approx = {r.category: r.distinct_movies for r in q["titles_per_category_approx"](spark, SF_SMALL).collect()}
+    cat = derive_catalog(spark, SF_SMALL)
+    exact = {r.category: r.distinct_movies for r in titles_per_category(cat, exact=True).collect()}
+    approx = {r.category: r.distinct_movies for r in titles_per_category(cat).collect()}
     assert set(exact) == set(approx)
     for c, n in exact.items():
         assert abs(approx[c] - n) <= 3 * 0.05 * n, (c, n, approx[c])

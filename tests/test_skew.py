@@ -86,3 +86,49 @@ def test_hot_genre_is_cut_before_its_shuffle(spark, hot_catalog, skew_conf):
     # carries only each task's leaders, and aggregates combine map-side
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_hot_title_does_not_flood_its_region(spark, skew_conf):
+    """One leading title with a third of all alternative titles, all in one region."""
+    n = 9000
+
+    def conform(df, table):
+        return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in SCHEMAS[table].fields])
+
+    ids = spark.range(n // 3).select(F.concat(F.lit("tt"), F.col("id").cast("string")).alias("tconst"), "id")
+    frames = {t: spark.createDataFrame([], SCHEMAS[t]) for t in TABLES}
+    frames["title.basics"] = conform(ids.withColumns({"titleType": F.lit("movie"), "primaryTitle": F.col("tconst")}), "title.basics")
+    frames["title.ratings"] = conform(ids.select("tconst", F.when(F.col("id") == 0, 9.9).otherwise(5.0 + F.col("id") % 40 / 10).alias("averageRating"),
+                                                 F.lit(5000).alias("numVotes")), "title.ratings")
+    frames["title.akas"] = conform(spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "tt0").otherwise(F.concat(F.lit("tt"), (F.col("id") % (n // 3)).cast("string"))).alias("titleId"),
+        F.col("id").cast("int").alias("ordering"),
+        F.when(F.col("id") % 3 == 0, "R0").otherwise(F.concat(F.lit("R"), (F.col("id") % 5).cast("string"))).alias("region")), "title.akas")
+    df = QUESTIONS["top_titles_per_region"](Catalog(frames))
+    got = [(r.region, r["rank"], r.primaryTitle) for r in df.collect()]
+    assert len(got) == 15 and got[0] == ("R0", 1, "tt0") and len({(a, t) for a, _, t in got}) == 15
+    exchanges = _region_exchange_rows(df)
+    # at most k rows a task and region
+    assert exchanges and max(exchanges) <= 3 * 5 * 16, exchanges
+
+
+def _region_exchange_rows(df):
+    """Rows written by the exchanges dealt by region, from the executed plan's metrics."""
+    found = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec" and "hashpartitioning(region" in node.outputPartitioning().toString() \
+                and "tconst" not in node.outputPartitioning().toString():
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            walk(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            walk(node.plan())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found

@@ -7,7 +7,6 @@ Layers:
   operators/  DataFrame-level building blocks (top-k, per-group limits,
               lag trends, bounded dimension lookups)
   plans/      the 24 catalogue questions, profiling and the batch runner
-  streaming/  intentionally empty: the catalogue is batch-only
 """
 
 from titlelens.catalog import Catalog, TABLES

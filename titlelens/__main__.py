@@ -18,13 +18,18 @@ from pyspark.sql import SparkSession
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("titlelens").getOrCreate()
-    from titlelens.session import check_session, ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    from titlelens.session import check_session
     for warning in check_session(spark):
         print(f"warning: {warning}", file=sys.stderr)
     return spark
 
 
+def _incomplete(cat) -> bool:
+    for table, why in sorted(cat.missing.items()):
+        print(f"missing table: {table}: {why}", file=sys.stderr)
+    return bool(cat.missing)
+
+
 def main(argv=None) -> int:
     from titlelens.plans.registry import QUESTIONS
 
@@ -62,6 +67,8 @@ def main(argv=None) -> int:
     from titlelens.sources import derive_catalog, read_catalog, write_catalog, write_report
     spark = _session()
     if args.cmd == "convert":
+        if (args.suffix or "").endswith(".gz") and not args.partitions:
+            ap.error("gzipped dumps cannot be split: give --partitions, or one task would sort and write each table")
         cat = read_catalog(spark, args.catalog, fmt="tsv", strict=True, suffix=args.suffix)
         write_catalog(cat, args.out, partitions=args.partitions)
     elif args.cmd == "derive":
@@ -69,6 +76,8 @@ def main(argv=None) -> int:
     elif args.cmd == "profile":
         from titlelens.plans.profile import numeric_stats_catalog, profile_catalog
         cat = read_catalog(spark, args.catalog, fmt=args.format)
+        if _incomplete(cat):
+            return 1
         write_report(profile_catalog(cat), f"{args.out}/profile")
         write_report(numeric_stats_catalog(cat), f"{args.out}/numeric_stats")
     elif args.cmd == "run":
@@ -80,7 +89,7 @@ def main(argv=None) -> int:
         for row in status.collect():
             print(f"{row.question}\t{row.status}\t{row.seconds:.2f}s\t{row.error or ''}")
             failed += row.status != "ok"
-        return 1 if failed else 0
+        return 1 if _incomplete(cat) or failed else 0
     return 0
 
 

@@ -34,7 +34,8 @@ class Catalog(Mapping):
     ``MissingTableError`` naming the table when a question touches them.
     A table may be given as a zero-argument function returning the frame;
     it is built on first use, so a question only pays for the plans of the
-    tables it reads.
+    tables it reads. Further tables may be held under any name; they get
+    views and profiles like the seven.
     """
 
     def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
@@ -44,13 +45,14 @@ class Catalog(Mapping):
 
     @staticmethod
     def _canon(name: str) -> str:
-        name = name.replace("_", ".", 1) if "." not in name else name
-        if name not in TABLES:
-            raise KeyError(f"unknown catalogue table {name!r}; expected one of {TABLES}")
-        return name
+        """The dotted name of one of the seven tables; any other name as it is."""
+        dotted = name.replace("_", ".", 1)
+        return dotted if "." not in name and dotted in TABLES else name
 
     def __getitem__(self, name: str) -> DataFrame:
         key = self._canon(name)
+        if key not in self._frames and key not in TABLES and key not in self.missing:
+            raise KeyError(f"unknown catalogue table {name!r}; known: {sorted({*TABLES, *self._frames})}")
         if key not in self._frames:
             why = self.missing.get(key, "not loaded")
             raise MissingTableError(f"catalogue table {key!r} is unavailable: {why}")

@@ -4,7 +4,8 @@
 TakeOrderedAndProject: every task keeps its own n best rows and only those
 reach the final merge, so the work is distributed and the driver sees at
 most ``n x tasks`` rows. Order keys should end in a unique column so that
-the cut is reproducible.
+the cut is reproducible. The merge is one partition: meant for report-sized
+n (up to some 100,000 rows); sort and write instead to keep more.
 
 ``top_per_group`` is ``rank/dense_rank/row_number <= k`` directly above the
 window; Spark inserts a partial WindowGroupLimit before the shuffle, so a

@@ -111,6 +111,25 @@ FROM pool JOIN name_basics n ON pool.nconst = n.nconst
 ORDER BY pool.episode_count DESC, pool.nconst ASC
 LIMIT 20""",
 
+    "most_credited_named_people": """
+SELECT p.nconst, any_value(n.primaryName) AS primaryName, count(*) AS episode_count
+FROM title_principals p JOIN title_basics b ON p.tconst = b.tconst JOIN name_basics n ON p.nconst = n.nconst
+WHERE p.category IN ('actor', 'actress') AND b.titleType = 'tvEpisode'
+GROUP BY p.nconst
+ORDER BY episode_count DESC, p.nconst ASC
+LIMIT 20""",
+
+    "titles_per_category_approx": """
+SELECT category, count(DISTINCT tconst) AS distinct_movies, true AS within_bound
+FROM title_principals WHERE category IS NOT NULL
+GROUP BY category""",
+
+    "titles_by_type": """
+SELECT titleType, count(*) AS title_count,
+       count(numVotes) AS rated_count, max(numVotes) AS most_votes
+FROM title_basics LEFT JOIN title_ratings USING (tconst)
+GROUP BY titleType""",
+
     "rating_by_genre": """
 SELECT genre, avg(averageRating) AS avg_rating, count(*) AS movie_count
 FROM (SELECT unnest(string_split(b.genres, ',')) AS genre, r.averageRating
@@ -366,6 +385,7 @@ ROUNDED = {
     "improving_directors": ("avg_rating_trend",),
     "votes_by_year_running_avg": ("cumulativeAvgVotes",),
     "catalog_numeric_stats": ("stddev",),
+    "catalog_column_stats": ("stddev",),
 }
 
 
@@ -394,6 +414,24 @@ def _numeric_stats_sql() -> str:
     return "\n" + "\nUNION ALL\n".join(parts)
 
 
+def _column_stats_sql() -> str:
+    parts = []
+    for table, schema in sorted(SCHEMAS.items()):
+        view = table.replace(".", "_")
+        for f in schema.fields:
+            c = f.name
+            if f.dataType.simpleString() == "string":
+                values = (f"CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, "
+                          f"CAST(NULL AS DOUBLE) AS max, min({c}) AS min_text, max({c}) AS max_text")
+            else:
+                values = (f"avg({c}) AS mean, stddev_samp({c}) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+                          f"CAST(max({c}) AS DOUBLE) AS max, CAST(NULL AS VARCHAR) AS min_text, "
+                          f"CAST(NULL AS VARCHAR) AS max_text")
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, count({c}) AS count, {values} "
+                         f"FROM {view}")
+    return "\n" + "\nUNION ALL\n".join(parts)
+
+
 def _key_violations_sql() -> str:
     from titlelens.sources.schemas import KEYS
     parts = []
@@ -423,6 +461,7 @@ def _tables_sql() -> str:
 QUESTIONS_SQL["catalog_tables"] = _tables_sql()
 QUESTIONS_SQL["catalog_profile"] = _profile_sql()
 QUESTIONS_SQL["catalog_numeric_stats"] = _numeric_stats_sql()
+QUESTIONS_SQL["catalog_column_stats"] = _column_stats_sql()
 QUESTIONS_SQL["catalog_key_violations"] = _key_violations_sql()
 
 

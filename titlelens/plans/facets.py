@@ -81,6 +81,16 @@ def titles_per_category(cat: Catalog, exact: bool = False, rsd: float = 0.05) ->
         F.desc("distinct_movies"), F.asc("category"))
 
 
+def titles_per_category_bound(cat: Catalog, rsd: float = 0.05) -> DataFrame:
+    """Exact distinct titles per credit category, and whether the approximate
+    count lies within its documented bound, three relative errors ``rsd``."""
+    both = titles_per_category(cat, True).join(
+        titles_per_category(cat, False, rsd).withColumnRenamed("distinct_movies", "estimate"), "category")
+    error = F.abs(F.col("estimate") - F.col("distinct_movies"))
+    return both.select("category", "distinct_movies",
+                       (error <= 3 * rsd * F.col("distinct_movies")).alias("within_bound"))
+
+
 def facet_growth_by_decade(cat: Catalog, from_year: int = 1990, n: int = 20, facet: str = "genres",
                            label: str = "genre", title_type: str = MOVIE) -> DataFrame:
     """Titles per (decade, genre) from ``from_year`` on, compared with the

@@ -29,21 +29,23 @@ def _acting_credits(cat: Catalog, categories) -> DataFrame:
 
 
 def most_credited_people(cat: Catalog, categories=ACTING, title_type: str = TV_EPISODE,
-                         pool: int = 50, n: int = 20) -> DataFrame:
+                         pool: int | None = 50, n: int = 20) -> DataFrame:
     """People with the most credit rows on titles of ``title_type``.
 
     Two cuts, as specified: the ``pool`` best counts are taken first, then
     people without a name row are dropped, then the best ``n`` remain. A
-    nameless person inside the pool is not replaced from outside it.
+    nameless person inside the pool is not replaced from outside it. With
+    ``pool=None`` names are joined first and ``n`` is the only cut.
     Ties: nconst.
     """
     titles = cat.title_basics.where(is_type(title_type)).select("tconst")
     counts = _acting_credits(cat, categories).join(titles, "tconst").groupBy("nconst").agg(
         count_rows("episode_count"))
-    shortlist = top_n(counts, pool, F.desc("episode_count"), F.asc_nulls_first("nconst"))
-    # The shortlist has at most ``pool`` rows (a LIMIT), so broadcasting it is
-    # bounded; the name table is streamed past it without a shuffle.
-    named = _names(cat).join(F.broadcast(shortlist), "nconst").select(
+    if pool is not None:
+        # Spark sizes a LIMIT by its row count: a short list is broadcast, and the
+        # name table is streamed past it without a shuffle.
+        counts = top_n(counts, pool, F.desc("episode_count"), F.asc_nulls_first("nconst"))
+    named = _names(cat).join(counts, "nconst").select(
         "nconst", "primaryName", "episode_count")
     return top_n(named, n, F.desc("episode_count"), F.asc("nconst"))
 
@@ -193,7 +195,9 @@ def release_gap_by_creator(cat: Catalog, n: int = 20, role: str = "directors",
     ).where(F.col("movieCount") > 1).select(
         "director", "movieCount",
         ((F.col("last_year") - F.col("first_year")) / (F.col("movieCount") - 1)).alias("averageGap"))
-    top = top_n(stats, n, F.desc("movieCount"), F.asc_nulls_first("director"))
+    # averageGap after the unique director: it cannot change the order, but keeps
+    # both branches of the lookup alike, so that their input runs once.
+    top = top_n(stats, n, F.desc("movieCount"), F.asc_nulls_first("director"), F.asc("averageGap"))
     named = lookup_bounded(top, cat.name_basics.select("nconst", "primaryName"), "director", "nconst")
     return named.select("director", "primaryName", "movieCount", "averageGap").orderBy(
         F.desc("movieCount"), F.asc("averageGap"), F.asc_nulls_first("director"))

@@ -56,24 +56,22 @@ def top_titles_per_region(cat: Catalog, k: int = 3, min_votes: int = 1000,
     """Best-rated titles per release region (a title counts once per region).
     Order within a region: rating, votes, then tconst.
 
-    A title has many alternative-title rows per region. Rather than
-    de-duplicating all of them before ranking (a shuffle of every matching
-    aka row), rows are ranked with dense_rank over (rating, votes, tconst):
-    copies of one title tie exactly and distinct titles never do, so the
-    dense rank equals the row number over distinct titles. The partial
-    per-region limit then runs before the shuffle, and only the <= k
-    titles per region (with their copies) are de-duplicated.
+    A title has many alternative-title rows per region. They are reduced to
+    one per (title, region) before the join: copies are combined map-side, so
+    neither a title with a third of all rows floods its join task nor its
+    copies, which tie, the region's window. The partial per-region limit then
+    sends at most k titles per task and region.
     """
     rated = cat.title_basics.where(is_type(title_type)).select(
         "tconst", "primaryTitle", "startYear").join(
         cat.title_ratings.where(F.col("numVotes") >= min_votes), "tconst")
     regions = cat.title_akas.where(F.col("region").isNotNull()).select(
-        F.col("titleId").alias("tconst"), "region")
+        F.col("titleId").alias("tconst"), "region").distinct()
     ranked = top_per_group(regions.join(rated, "tconst"), "region",
                            [F.desc("averageRating"), F.desc("numVotes"), F.asc("tconst")],
-                           k, "dense_rank", alias="rank")
-    return ranked.dropDuplicates(["tconst", "region"]).select(
-        "primaryTitle", "startYear", "region", "averageRating", "numVotes", "rank").orderBy("region", "rank")
+                           k, "row_number", alias="rank")
+    return ranked.select("primaryTitle", "startYear", "region", "averageRating", "numVotes", "rank").orderBy(
+        "region", "rank")
 
 
 def votes_by_year_with_running_avg(cat: Catalog, min_rating: float = 7.5) -> DataFrame:

@@ -31,6 +31,7 @@ class Question:
 _QUESTIONS = [
     Question("top_rated_titles", ratings.top_rated_titles, "ratings"),
     Question("most_credited_people", people.most_credited_people, "people"),
+    Question("most_credited_named_people", people.most_credited_people, "people", {"pool": None}),
     Question("rating_by_genre", ratings.rating_by_facet, "ratings"),
     Question("improving_directors", people.improving_creators, "people"),
     Question("non_english_languages", facets.localized_language_counts, "facets"),
@@ -41,7 +42,7 @@ _QUESTIONS = [
     Question("genre_runtime_ranking", facets.facet_runtime_ranking, "facets"),
     Question("adult_split_by_year", trends.adult_split_by_year, "trends"),
     Question("titles_per_category", facets.titles_per_category, "facets", {"exact": True}),
-    Question("titles_per_category_approx", facets.titles_per_category, "facets", {"exact": False}),
+    Question("titles_per_category_approx", facets.titles_per_category_bound, "facets"),
     Question("most_referenced_titles", people.most_referenced_titles, "people"),
     Question("episodes_per_season_by_year", series.avg_children_per_season, "series"),
     Question("release_gap_by_director", people.release_gap_by_creator, "people"),
@@ -57,6 +58,8 @@ _QUESTIONS = [
     Question("catalog_tables", profile.describe_catalog, "profile"),
     Question("catalog_profile", profile.profile_catalog, "profile"),
     Question("catalog_numeric_stats", profile.numeric_stats_catalog, "profile"),
+    Question("catalog_column_stats", profile.column_stats_catalog, "profile"),
+    Question("titles_by_type", profile.titles_by_type, "profile"),
     Question("catalog_key_violations", profile.key_violations, "profile"),
 ]
 

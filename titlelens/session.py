@@ -7,7 +7,6 @@ that are already present.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -33,31 +32,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the session's checkpoint directory.
-
-    The shared folder named in ``spark.checkpoint.dir`` is always used as is.
-    Only when none is configured *and* the master is local (tests, local
-    benchmarks) is a scratch directory set; on a cluster nothing machine-local
-    is ever used, and ``None`` is returned. (No question needs checkpoints:
-    every plan is a short scan-shuffle-answer lineage.)
-    """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        return None
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="titlelens-ckpt-"))
-    return sc.getCheckpointDir()
-
-
 # Settings the plans rely on for hot keys, and what goes wrong without them.
 _EXPECTED = {
     "spark.sql.adaptive.enabled": ("true", "no runtime re-planning: no skew-join splitting, no broadcast "

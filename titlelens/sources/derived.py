@@ -158,11 +158,12 @@ def _alive(spark: SparkSession) -> bool:
         return False
 
 
-def derive_catalog(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Catalog:
+def derive_catalog(spark: SparkSession, sf_dir: str, reuse: bool = False) -> Catalog:
     """Lazily derive the seven catalogue tables from ``sf_dir/*.parquet``.
 
     Tables are planned on first use. With ``reuse`` the catalogue (plans
-    only, no data) is shared by calls with the same session and directory.
+    and file listings, no data) is shared by calls with the same session and
+    directory, which then do not see files added later; off by default.
     """
     key = (id(spark), sf_dir.rstrip("/"))
     if reuse and key in _DERIVED:

@@ -79,7 +79,8 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "tsv", quote: str =
             df.schema  # resolves the path now, so a missing file is reported here
             frames[table] = df
         except AnalysisException as exc:
-            if strict:
+            # Only an absent path is a missing table; anything else (format, permission, schema) is an error.
+            if strict or exc.getCondition() != "PATH_NOT_FOUND":
                 raise
             missing[table] = str(exc).splitlines()[0]
     return Catalog(frames, missing)
@@ -97,9 +98,10 @@ def write_catalog(catalog: Catalog, path: str, mode: str = "overwrite",
     """
     from titlelens.sources.schemas import KEYS
     for table, df in catalog.items():
-        key = KEYS[table]
-        out = df.repartitionByRange(partitions, *key) if partitions else df
-        out.sortWithinPartitions(*key).write.mode(mode).parquet(table_path(path, table, "parquet"))
+        key = KEYS.get(table, ())  # an extra table has no declared key
+        out = df.repartitionByRange(partitions, *(key or df.columns[:1])) if partitions else df
+        out = out.sortWithinPartitions(*key) if key else out
+        out.write.mode(mode).parquet(table_path(path, table, "parquet"))
 
 
 def register_views(catalog: Catalog) -> list[str]:
