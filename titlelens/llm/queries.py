@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from titlelens.llm import oracle
+
 
 # For the synthetic tables; a caller passes a secret of their own.
 SURROGATE_KEY = "synthetic-documents"
@@ -87,4 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_ngram_jaccard_join, op4_pii_surrogates, op5_language_id, op6_line_dedup, op7_substring_dedup, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": oracle.quality(),
+    "op7_substring_dedup": oracle.repeats(),
+    "op10_decontaminate": oracle.contamination(),
+}
