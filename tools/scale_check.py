@@ -68,7 +68,8 @@ def main():
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
     spark = local_session()
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
-    scratch = tempfile.mkdtemp(prefix="titlelens-scale-")
+    # argv[3]: a folder that all executors share, on a cluster
+    scratch = sys.argv[3] if len(sys.argv) > 3 else tempfile.mkdtemp(prefix="titlelens-scale-")
     base = derive_catalog(spark, sf_dir, reuse=False)
     write_catalog(base, f"{scratch}/x1", partitions=8)
     t0 = time.perf_counter()
