@@ -21,6 +21,8 @@ BINS = 128
 HOT = 4000
 #: Shingles of one block of a candidate component; larger components are joined block by block.
 BLOCK = 4_000_000
+#: Bits that mark the ids of wanted documents: a table of 2 MB, whatever their number.
+MARKS = 1 << 24
 
 
 def _buckets(s: np.ndarray) -> np.ndarray:
@@ -188,10 +190,47 @@ def _candidate_edges(sizes: np.ndarray, profiles: list[bytes], percent: int) ->
     return out
 
 
+def _partnered(gram: np.ndarray, cls: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows, sorted by n-gram, have a partner under theirs. If the n-gram is the
+    first that two sets share, their overlap is at most what follows it in the shorter rest."""
+    rest = size - at
+    fits = lambda i, j: ((100 + percent) * np.minimum(rest[i], rest[j]) >= _need(percent, size[i] + size[j])) & (cls[i] != cls[j])
+    cuts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
+    length = np.diff(cuts)
+    keep = np.zeros(len(gram), bool)
+    two = cuts[:-1][length == 2]
+    both = fits(two, two + 1)
+    keep[two] = keep[two + 1] = both
+    for a, n in zip(cuts[:-1][length > 2].tolist(), length[length > 2].tolist(), strict=True):
+        for b in range(a, a + n, 256):  # 256 rows against all of theirs at a time
+            some, every = np.arange(b, min(b + 256, a + n)), np.arange(a, a + n)
+            keep[some] = fits(some[:, None], every[None, :]).any(axis=1)
+    return keep
+
+
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def _marked(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the rows whose id may be one of ``ids``, told in the scan
+    by a bitmap of hashed ids, so that only these texts are shuffled. A full bitmap lets all pass."""
+    at = F.xxhash64("doc_id").bitwiseAND(MARKS - 1).alias("mark")
+    words = ids.select(F.col(ids.columns[0]).alias("doc_id")).select(at).selectExpr("shiftright(mark, 6) AS word", "shiftleft(1L, cast(mark & 63 AS int)) AS bit")
+    table = np.zeros(MARKS >> 6, np.uint64)
+    for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow().to_batches():  # at most MARKS / 64 rows
+        table[r.column(0).to_numpy()] = r.column(1).to_numpy().view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mark = batch.column(2).to_numpy()
+            hit = (shared.value[mark >> 6] >> (mark & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+
+    return texts.select("doc_id", "text", at).mapInArrow(pick, "doc_id long, text string")
+
+
 def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """One row a document: ``doc_id, n_shingles, component_id, class_id, text_key``.
@@ -204,7 +243,7 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
        global order is (bucket count, shingle).  Equal sets form a class, and
        only classes take part.
     2. A class's prefix, its rarest shingles, must share one with every partner's. Prefixes
-       are joined by shingle; lengths and profiles (upper bounds of the
+       are joined by shingle; lengths, places and profiles (upper bounds of the
        overlap) sort out most pairs.  What is left spans candidate components.
     3. The sets of a component meet once, in one task, or block by block if they
        are many, in a prefix tree, most common shingle first.  It decides exactly.
@@ -250,7 +289,7 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, count = WordHasher(), set(), shared.value
         for batch in batches:
-            grams, owners = [], []
+            grams, places, owners = [], [], []
             for s in sets_of(batch.column(0), hasher):
                 d = _digest(s)
                 if not len(s) or d in seen:
@@ -265,21 +304,34 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
                     top = weight[part].max()
                     sure = np.flatnonzero(weight < top)
                     part = np.concatenate((sure, np.flatnonzero(weight == top)[:p - len(sure)]))
-                    s = s[part]
-                grams.append(s)
-                owners += [d] * len(s)
+                    rare = s[part][np.lexsort((s[part], weight[part]))]
+                else:
+                    rare = s[np.lexsort((s, weight))]
+                grams.append(rare)
+                places.append((len(s) << 24) + np.arange(len(rare)))
+                owners += [d] * len(rare)
             if grams:
-                yield pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), pa.array(owners, pa.binary())], names=["gram", "digest"])
+                yield pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(places)), pa.array(owners, pa.binary())],
+                                      names=["gram", "place", "digest"])
 
-    prefix = texts.select("text").mapInArrow(prefixes, "gram long, digest binary").select("gram", F.xxhash64("digest").alias("cls"))
+    prefix = texts.select("text").mapInArrow(prefixes, "gram long, place long, digest binary").select("gram", "place", F.xxhash64("digest").alias("cls"))
     prefix = cut(prefix, "prefixes")
     common = prefix.groupBy("gram").agg(F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("k")).where("a < b")
-    pairs = prefix.join(common, "gram").select("gram", "cls", "a", "k")
+    pairs = prefix.join(common, "gram").select("gram", "cls", "place", "a", "k")
     pairs = cut(pairs, "shared-prefixes")
     # A hot n-gram joins all that have it to the least of them; the exact step decides.
     hot = pairs.where((F.col("k") > HOT) & (F.col("a") != F.col("cls"))).select("a", F.col("cls").alias("b"))
     facts = classes.select("cls", "n", "profile").dropDuplicates(["cls"])
-    cool = pairs.where(F.col("k") <= HOT).select("gram", "cls").join(facts, "cls")
+    cool = pairs.where(F.col("k") <= HOT).select("gram", "cls", "place")
+
+    def partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            gram, place = table.column(0).to_numpy(), table.column(2).to_numpy()
+            keep = _partnered(gram, table.column(1).to_numpy(), place >> 24, place & 0xFFFFFF, percent)
+            yield from table.filter(pa.array(keep)).to_batches()
+
+    cool = cut(cool.repartition("gram").sortWithinPartitions("gram").mapInArrow(partnered, "gram long, cls long, place long"), "partnered-prefixes")
+    cool = cool.select("gram", "cls").join(facts, "cls")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emitted: set[tuple[int, int]] = set()
@@ -342,7 +394,8 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
             a, b = zip(*links, strict=True)
             yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    sent = (texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["id"]))
+    near_texts = _marked(texts, near.select("least"))
+    sent = (near_texts.join(wanted, near_texts["doc_id"].eqNullSafe(wanted["id"]))
             .select("job.comp", "job.i", "job.j", "d", "text").repartition("comp", "i", "j")
             .sortWithinPartitions("comp", "i", "j", "d"))
     linked = connected_components(sent.mapInArrow(exact, "a binary, b binary"), "links")
