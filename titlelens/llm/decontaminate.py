@@ -70,7 +70,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if not lengths:
         return _verdict(base.drop("words").withColumns({"n_hit": F.lit(None).cast("long"), "items": F.lit(None).cast("array<string>")}), min_percent)
     found = cut(fingerprints(base, "prints", "words", lengths[0]).drop("words"), "fingerprints")
-    of_items = fingerprints(items, "prints", "words", lengths[0]).select(F.explode("prints").alias("print")).distinct()
+    # explode() would add a filter on the array; moved below, it would copy the steps of its making many times over.
+    of_items = (fingerprints(items, "prints", "words", lengths[0]).select(F.explode_outer("prints").alias("print"))
+                .where("print is not null").distinct())
     near = (found.select("doc_id", "text_key", F.explode("prints").alias("print"))
             .join(of_items, "print", "left_semi").select("doc_id", "text_key").distinct())
     # Only the texts of documents with a common fingerprint are compared.
