@@ -84,8 +84,8 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
     2. The recurring phrases of a first owner go, as text, to the automaton
        of one of many shards, and the documents that hold some of them with it.
        A shard with many documents is spread over tasks that share its phrases.
-    3. The documents stream through the automata in ascending id. Around every
-       occurrence the windows are looked up among those seen before; what
+    3. The documents stream through the automata in ascending id.  Windows whose
+       sampled phrase occurs are looked up among those seen before; what
        spread shards have seen first in each task is settled by a join.
 
     Null texts have no words.  Null ids count as larger than any other, and do not
@@ -157,7 +157,6 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, group, waiting, machine, first = WordHasher(), None, [], None, {}
-        reach = np.arange(-slack, 1)
         for batch in batches:
             out: list[tuple] = []
             for shard, task, tasks, doc, key, body in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
@@ -175,16 +174,18 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                 at = np.array([end for end, _ in machine.iter(tuple(map(numbers.get, words, repeat(0))))], np.int64) - (gram - 1)
                 if not len(at):
                     continue
-                starts = np.unique((at[:, None] + reach).ravel())
-                starts = starts[(starts >= 0) & (starts <= len(words) - size)]
+                # A window recurs only if its own sampled phrase does; the automaton has found all places of those.
+                hashes = hasher(words)
+                own = runs(hashes, gram)
+                starts = np.flatnonzero(np.isin(window_least(own, slack + 1), own[at]))
                 if not len(starts):
                     continue
-                seen = [first.setdefault(h, doc) for h in runs(hasher(words), size)[starts].tolist()]
-                seen = np.array(seen, np.int64)
+                windows = runs(hashes, size)[starts]
+                seen = np.array([first.setdefault(h, doc) for h in windows.tolist()], np.int64)
                 out += [(doc, key, a, b, None) for a, b in _spans(starts[seen < doc], size)]
                 if tasks > 1:  # another task of this shard may have seen these windows in an earlier document
-                    new = starts[seen == doc]
-                    out += [(doc, key, a, a + size, h) for a, h in zip(new.tolist(), runs(hasher(words), size)[new].view(np.int64).tolist(), strict=True)]
+                    new = seen == doc
+                    out += [(doc, key, a, a + size, h) for a, h in zip(starts[new].tolist(), windows[new].view(np.int64).tolist(), strict=True)]
             if out:
                 cols = zip(*out, strict=True)
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["doc", "text_key", "start", "end", "window"])
