@@ -65,3 +65,35 @@ def test_given_documents(spark):
     want = plain(docs, 10)
     assert {r.doc_id: r.text for r in remove_line_runs(df).collect()} == want
     assert {(r.doc_id, r.n_chars_left) for r in line_report(df).collect()} == {(i, len(x or "")) for i, x in want.items()}
+
+
+def every_width(docs, min_words):
+    """Text left by document: runs of any number of lines that started before go if they have the words."""
+    split = [(i, None if t is None else t.split("\n")) for i, t in docs]
+    gone = {i: set() for i, _ in docs}
+    for width in range(1, max(len(x or [""]) for _, x in split) + 1):
+        seen = set()
+        for i, lines in sorted(split):
+            lines = lines or [""]
+            for k in range(len(lines) - width + 1):
+                run = tuple(lines[k:k + width])
+                if run in seen and sum(len(x.encode().split()) for x in run) >= min_words:
+                    gone[i] |= set(range(k, k + width))
+                seen.add(run)
+    return {i: None if x is None else "\n".join(y for k, y in enumerate(x) if k not in gone[i]) for i, x in split}
+
+
+def test_runs_of_any_number_of_lines(spark):
+    three, fifteen, tail = "a b c d\ne f g h\ni j k l", "\n".join(f"one{k}" for k in range(15)), "x " * 60 + "\nshort tail\nlast words"
+    docs = [(0, three), (1, "p\n" + three + "\nq"), (2, fifteen), (3, fifteen + "\nend"), (4, tail), (5, tail),
+            (6, "\n" * 40 + "r " * 9), (7, "\n" * 40 + "r " * 9 + "\ns"), (8, "t " * 5 + "\n" * 30 + "u " * 5), (9, "t " * 5 + "\n" * 30 + "u " * 5)]
+    got = {r.doc_id: r.text for r in remove_line_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == every_width(docs, 10)
+    assert got[1] == "p\nq" and got[3] == "end" and got[5] == "" and got[9] == ""
+
+
+def test_against_every_width(spark):
+    docs = [x for x in corpus() if x[0] < 74]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for min_words in (0, 4, 10, 40):
+        assert {r.doc_id: r.text for r in remove_line_runs(df, min_words).collect()} == every_width(docs, min_words)

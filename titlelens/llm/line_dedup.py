@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,17 +30,32 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("place", place)
 
 
+def _shortest_runs(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(start, width)`` of the shortest runs with ``min_words`` words, one from every line and one up to every line."""
+    total = np.concatenate(([0], np.cumsum(words)))
+    line = np.arange(len(words))
+    end = np.maximum(np.searchsorted(total, total[:-1] + min_words), line + 1)
+    start = np.minimum(np.searchsorted(total, total[1:] - min_words, side="right") - 1, line)
+    runs = np.concatenate((np.stack((line, end))[:, end <= len(words)], np.stack((start, line + 1))[:, start >= 0]), axis=1)
+    start, end = np.unique(runs, axis=1)
+    return start, end - start
+
+
 def repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_key, n_lines, gone`` (line numbers) of every distinct document.
 
+    A later copy of a run goes, whatever its number of lines, if it has ``min_words`` words.
+    Each of its lines lies in the shortest run with these words from its first line, or
+    in the shortest one up to the line itself, and both are inside it; so the shortest
+    runs from and up to every line that have an earlier copy are all that goes.
+
     Prefix doubling: the rank of a run of h lines is the place where it first
     starts; the rank of a run of 2h lines comes from the ranks of its halves
     as the least place of their pair.  Places of equal rank are an interval of the suffix
     array with a common prefix of h lines. Runs without a second copy
     leave at each step, so later steps are over repeated runs alone,
-    until none is left.  A run whose rank is not its own place is a later
-    copy: it goes if it has ``min_words`` words.  The runs of 1, 2, 4, ... lines that a
-    maximal run holds cover it, so it goes as a whole.
+    until none is left or no shortest run is as long.  A shortest run of h to 2h - 1 lines is
+    known by the ranks of its first and its last h lines.
 
     Every step is a partial aggregate and an equi-join; a line that a third of all
     documents hold is combined before it is shuffled, and its rows may be split.
@@ -44,18 +63,48 @@ def repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
     docs_ = cut(_numbered(docs, id_col, text_col), "lines")
     lines = docs_.select("place", F.posexplode("lines").alias("line", "x")).select(
         (F.col("place") + F.col("line")).alias("at"), "x.h", "x.size", F.col("x.words").cast("long").alias("words"))
+
+    def shortest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, width, rows = [], [], 0
+            counts = batch.column(1)
+            for k, place in enumerate(batch.column(0).to_pylist()):
+                start, size = _shortest_runs(counts[k].values.to_numpy(zero_copy_only=False).astype(np.int64), min_words)
+                more = size > 1  # runs of one line need no second rank
+                at.append(place + start[more])
+                width.append(size[more])
+                rows += len(at[-1])
+                if rows > 1_000_000:
+                    yield pa.record_batch([pa.array(np.concatenate(at)), pa.array(np.concatenate(width))], names=["at", "width"])
+                    at, width, rows = [], [], 0
+            if rows:
+                yield pa.record_batch([pa.array(np.concatenate(at)), pa.array(np.concatenate(width))], names=["at", "width"])
+
+    windows = cut(docs_.select("place", F.transform("lines", lambda x: x["words"].cast("long")).alias("words"))
+                  .mapInArrow(shortest, "at long, width long"), "shortest-runs")
+    widest = windows.agg(F.max("width")).first()[0] or 1
     keys, width, gone = ["h", "size"], 1, []
     runs = lines
     while True:
         first = runs.groupBy(*keys).agg(F.min("at").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-        ranked = cut(runs.join(first, keys).select("at", F.col("least").alias("rank"), "words"), f"runs-{width}")
+        ranked = cut(runs.join(first, keys).select("at", F.col("least").alias("rank"), *["words"] * (width == 1)), f"runs-{width}")
         if not ranked.limit(1).count():
             break
-        gone.append(ranked.where((F.col("rank") < F.col("at")) & (F.col("words") >= min_words))
-                    .select("at", F.lit(width).alias("width")))
+        if width == 1:
+            gone.append(ranked.where((F.col("rank") < F.col("at")) & (F.col("words") >= min_words)).select("at", F.lit(1).cast("long").alias("width")))
+        else:
+            last = ranked.select(F.col("at").alias("last"), F.col("rank").alias("rank_last"))
+            here = (windows.where(F.col("width").between(width, 2 * width - 1)).join(ranked, "at")
+                    .withColumn("last", F.col("at") + F.col("width") - width).join(last, "last"))
+            here = cut(here.select("at", "width", "rank", "rank_last"), f"shortest-runs-{width}")
+            same = ["width", "rank", "rank_last"]
+            least = here.groupBy(*same).agg(F.min("at").alias("least"), F.max("at").alias("most")).where("least < most").drop("most")
+            gone.append(here.join(least, same).where("least < at").select("at", "width"))
+        if 2 * width > widest:
+            break
         # Places of one document are consecutive, and between two documents lie places that no line has.
-        after = ranked.select((F.col("at") - width).alias("at"), F.col("rank").alias("rank_after"), F.col("words").alias("words_after"))
-        runs = ranked.join(after, "at").select("at", "rank", "rank_after", (F.col("words") + F.col("words_after")).alias("words"))
+        after = ranked.select((F.col("at") - width).alias("at"), F.col("rank").alias("rank_after"))
+        runs = ranked.join(after, "at").select("at", "rank", "rank_after")
         keys, width = ["rank", "rank_after"], 2 * width
     base = docs_.select("doc_id", "text_key", "place", F.size("lines").cast("long").alias("n_lines"))
     if not gone:
@@ -63,9 +112,22 @@ def repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
     spans = gone[0]
     for more in gone[1:]:
         spans = spans.unionByName(more)
-    at = spans.select(F.explode(F.sequence("at", F.col("at") + F.col("width") - 1)).alias("at")).distinct()
     mask = (1 << LINE_BITS) - 1
-    by_doc = at.groupBy(F.col("at").bitwiseAND(~mask).alias("place")).agg(F.collect_list(F.col("at").bitwiseAND(mask)).alias("gone"))
+
+    def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for spans in batch.column(1):
+                start, size = (spans.values.field(k).to_numpy() for k in range(2))
+                step = np.zeros(int((start + size).max()) + 1, np.int64)
+                np.add.at(step, start, 1)
+                np.add.at(step, start + size, -1)
+                out.append(np.flatnonzero(np.cumsum(step)))
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["place", "gone"])
+
+    by_doc = (spans.groupBy(F.col("at").bitwiseAND(~mask).alias("place"))
+              .agg(F.collect_list(F.struct(F.col("at").bitwiseAND(mask).alias("start"), "width")).alias("spans"))
+              .mapInArrow(covered, "place long, gone array<bigint>"))
     return base.join(by_doc, "place", "left").select(
         "doc_id", "text_key", "n_lines", F.coalesce("gone", F.array().cast("array<bigint>")).alias("gone"))
 
