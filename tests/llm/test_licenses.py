@@ -54,3 +54,45 @@ def test_rules_are_hundreds_and_gated():
         re.compile(r.regex)
     for text in ("licence", "spdx license identifier mit"):
         assert any(g in text for g in GATE)
+
+
+def example(parsed, k):
+    """A text that the parsed regex matches: the k-th alternative of each choice, as few repeats as can be, or as many if k is odd."""
+    out = ""
+    for op, x in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(x)
+        elif name == "NOT_LITERAL":
+            out += "x"
+        elif name == "IN":
+            kind, value = x[0]
+            out += chr(value if str(kind) == "LITERAL" else value[0])
+        elif name == "BRANCH":
+            out += example(x[1][k // 2 % len(x[1])], k)
+        elif name == "SUBPATTERN":
+            out += example(x[-1], k)
+        elif name == "MAX_REPEAT":
+            low, high, part = x
+            out += example(part, k) * (min(high, max(low, 3)) if k % 2 else low)
+        else:
+            raise ValueError(name)
+    return out
+
+
+def test_every_rule_finds_its_own_example(spark):
+    examples = [(i, example(re._parser.parse(r.regex), k)) for i, r in enumerate(rules()) for k in range(16)]
+    assert all(re.fullmatch(rules()[i].regex, text) for i, text in examples)
+    examples = sorted(set(examples))
+    got = scan_licenses(spark.createDataFrame(examples, "doc_id long, text string").selectExpr("monotonically_increasing_id() as row", "*"))
+    found = {}
+    for r in got.select("doc_id", "labels", "score").collect():
+        found.setdefault(r.doc_id, []).append((rules()[r.doc_id].label in r.labels.split(",") and r.score > 0))
+    assert [(rules()[i], found[i]) for i in found if not all(found[i])] == []
+    assert len(found) == len(rules())
+
+
+def test_names_with_versions_alone(spark):
+    text = "Code: Apache 2.0. Data: CC BY-SA 4.0, parts GPL v3.0."
+    got = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.labels == "apache,cc-by-sa,gpl" and got.score == 0.6 and got.detections == 3

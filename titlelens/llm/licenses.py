@@ -128,10 +128,13 @@ def rules() -> list[Rule]:
     return out
 
 
-# The prefilter: a text that holds none of these is not scanned.
-GATE = ("licen", "spdx", "copyright", "permission", "redistribution", "public domain", "all rights reserved", "confidential",
-        "free software", "neither the name", "merchantability", "as is", "without", "released", "distributed", "available",
-        "provided", "published", "covered", "governed")
+def _keywords(table: list[Rule]) -> tuple[str, ...]:
+    """Every keyword of the rules once."""
+    return tuple(dict.fromkeys(k for r in table for k in r.keyword.split("|")))
+
+
+# The prefilter: a text that holds none of these matches no rule and holds no base phrase.
+GATE = ("licen", *_keywords(rules()))
 
 
 def _spans(text: Column, regex: Column | str) -> Column:
@@ -149,7 +152,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row a document, made in its scan task: ``doc_id, n_words, n_base,
     first_word, last_word, base_labels, labels, score, detections``.
 
-    A document passes the gate if it holds one of a few keywords; a rule's
+    The keywords of all rules are looked up once a document; a rule's
     regex is tried only where its own keyword stands.  Detections are taken
     in order of start, longer and higher ones first; one that lies inside an
     earlier one of the same or a higher priority is suppressed.
@@ -159,20 +162,20 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A null or empty text has no words, no labels, a score of 0 and null
     positions.  Rows do not depend on each other: repeated and null ids pass through.
     """
+    gate = GATE if table is None else _keywords(table)
     table = rules() if table is None else table
     levels = sorted({r.priority for r in table})
     s = F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), F.lit(" "))
     df = docs.select(F.col(id_col).alias("doc_id"), s.alias("s"))
     n_words = F.when(F.col("s") == "  ", 0).otherwise(F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) - 1)
-    gate = F.lit(False)
-    for word in GATE:
-        gate = gate | F.contains("s", F.lit(word))
+    present = F.filter(F.array(*map(F.lit, gate)), lambda k: F.contains("s", k))
     base = F.when(F.contains("s", F.lit(" license ")), _spans(F.col("s"), "|".join(BASE)))
     rule_array = F.array(*(F.struct(F.lit(i).alias("no"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
                                     F.array(*map(F.lit, r.keyword.split("|"))).alias("keywords"), F.lit(r.regex).alias("regex"),
                                     F.lit(r.confidence).alias("confidence")) for i, r in enumerate(table)))
-    tried = F.filter(rule_array, lambda r: F.exists(r["keywords"], lambda k: F.contains("s", k)) & F.rlike("s", F.concat(F.lit(" ("), r["regex"], F.lit(") "))))
-    df = df.select("doc_id", "s", n_words.cast("long").alias("n_words"), base.alias("base"), F.when(gate, tried).alias("tried"))
+    tried = F.filter(rule_array, lambda r: F.arrays_overlap(r["keywords"], F.col("present")) & F.rlike("s", F.concat(F.lit(" ("), r["regex"], F.lit(") "))))
+    df = df.select("doc_id", "s", n_words.cast("long").alias("n_words"), base.alias("base"), present.alias("present"))
+    df = df.select("doc_id", "s", "n_words", "base", F.when(F.size("present") > 0, tried).alias("tried"))
     found = F.flatten(F.transform("tried", lambda r: F.transform(_spans(F.col("s"), r["regex"]), lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("before"), (-r["priority"]).alias("rank"), r["no"].alias("no"),
         r["label"].alias("label"), r["confidence"].alias("confidence")))))
