@@ -55,6 +55,13 @@ def test_repeated_and_null_ids(spark):
     assert got == {(4, 70, 0), (4, 71, 0), (None, 70, 70), (None, 71, 70), (9, 71, 70)}
 
 
+def test_null_texts_beside_repeats(spark):
+    text = " ".join(f"w{k}" for k in range(70))
+    data = [(4, text), (4, None), (None, text), (None, None), (None, None), (9, text + " z")]
+    got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in sub.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted([(4, 70, 0), (4, 0, 0), (None, 70, 70), (None, 0, 0), (None, 0, 0), (9, 71, 70)], key=repr)
+
+
 def test_given_documents(spark):
     t = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"])
     docs = list(zip(*(c.to_pylist() for c in t.columns), strict=True))

@@ -127,7 +127,8 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
               .groupBy("doc").agg(F.collect_set("shard").alias("shards")))  # at most one for each sampled phrase of the document
     owned = recurring.groupBy("owner").agg(F.collect_set("phrase").alias("owned"))
     routes = routes.join(owned, routes["doc"] == owned["owner"], "left").select(F.col("doc").alias("to"), "shards", "owned")
-    held = cut(texts.join(routes, texts["doc"] == routes["to"]).select("doc", "text_key", "text", "shards", "owned"), "documents-with-repeats")
+    with_text = texts.where("text is not null")  # a null text may share its id with a text that holds repeats
+    held = cut(with_text.join(routes, with_text["doc"] == routes["to"]).select("doc", "text_key", "text", "shards", "owned"), "documents-with-repeats")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
