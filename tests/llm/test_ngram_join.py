@@ -57,6 +57,26 @@ def test_blocks_and_hot_grams(spark, monkeypatch):
     assert groups(df, percent=80) == sorted(brute.components(docs, 3, 80), key=repr)
 
 
+@pytest.mark.parametrize("block", [4_000_000, 3000])
+def test_all_links_of_a_group(spark, monkeypatch, block):
+    monkeypatch.setattr(nj, "BLOCK", block)
+    docs = corpus()
+    sets = {}
+    for i, t in docs:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k:k + 3]) for k in range(len(w) - 2)} or ({tuple(w)} if w else set())
+    link = lambda x, y: bool(x) and 100 * len(x & y) >= 90 * len(x | y)
+    want = {i: sum(link(sets[i], sets[j]) for j in sets if j != i) for i in sets}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = nj.similarity_groups(df).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+    assert max(want.values()) > 5
+    cls = {r.doc_id: r.class_id for r in got}
+    pairs = {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i in sets for j in sets if cls[i] != cls[j] and link(sets[i], sets[j])}
+    found = [tuple(r) for r in nj.class_links(df).collect()]
+    assert len(found) == len(set(found)) and set(found) == pairs
+
+
 def test_given_documents(spark):
     t = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"])
     docs = list(zip(*(c.to_pylist() for c in t.columns), strict=True))

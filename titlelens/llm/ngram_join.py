@@ -131,41 +131,32 @@ class Trie:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def spanning_links(sets: list[np.ndarray], count: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that join exactly the sets that chains of similar pairs join: a
-    breadth-first search in which every set met leaves the tree, so a dense group costs
-    little more than one pass and no list of all its pairs."""
+def links_of(sets: list[np.ndarray], count: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Every set once, with all others similar to it and those of them that no
+    set before met. Chains of similar pairs are followed, so the links to the latter span each group."""
     everything, local = np.unique(np.concatenate(sets), return_inverse=True)
     rank = np.empty(len(everything), np.int64)
     rank[np.lexsort((everything, -count[_buckets(everything)]))] = np.arange(len(everything))
     cuts = np.cumsum([len(s) for s in sets])[:-1]
     ordered = [np.sort(r) for r in np.split(rank[local], cuts)]
     mask = np.zeros(len(everything), np.int64)
-    alive = np.ones(len(sets), bool)
-    links: list[tuple[int, int]] = []
-    members, trie = np.arange(len(sets)), None
-    queue: list[int] = []
-    n_alive = len(sets)
-    while n_alive:
-        if not queue:
-            queue.append(int(np.argmax(alive)))
-            alive[queue[0]] = False
-            n_alive -= 1
-            if not n_alive:
-                break
-        i = queue.pop()
-        if trie is None or 2 * n_alive < len(members):
-            members = np.flatnonzero(alive)
-            trie = Trie([ordered[k] for k in members])
-        mask[ordered[i]] = 1
-        for k in members[trie.similar(ordered[i], mask, percent)].tolist():
-            if alive[k]:
-                alive[k] = False
-                n_alive -= 1
-                links.append((i, k))
-                queue.append(k)
-        mask[ordered[i]] = 0
-    return links
+    met = np.zeros(len(sets), bool)
+    trie = Trie(ordered)
+    for root in range(len(sets)):
+        if met[root]:
+            continue
+        met[root] = True
+        queue = [root]
+        while queue:
+            i = queue.pop()
+            mask[ordered[i]] = 1
+            found = trie.similar(ordered[i], mask, percent)
+            mask[ordered[i]] = 0
+            found = found[found != i]
+            new = found[~met[found]]
+            met[new] = True
+            queue += new.tolist()
+            yield i, found, new
 
 
 def _candidate_edges(sizes: np.ndarray, profiles: list[bytes], percent: int) -> list[tuple[int, int]]:
@@ -231,13 +222,21 @@ def _marked(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text", at).mapInArrow(pick, "doc_id long, text string")
 
 
+def class_links(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``class_a, class_b``: every two classes of ``similarity_groups`` that link, once,
+    the smaller ``class_id`` first. A group of m similar classes has up to m (m - 1) / 2."""
+    return similarity_groups(docs, n, percent, id_col, text_col, listed=True)
+
+
 def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """One row a document: ``doc_id, n_shingles, component_id, class_id, text_key``.
+                      text_col: str = "text", listed: bool = False) -> DataFrame:
+    """One row a document: ``doc_id, n_shingles, component_id, class_id, n_links, text_key``;
+    with ``listed`` the linked classes instead (``class_links``).
 
     Words are lower-cased (A-Z); a document's set holds its distinct ``n``-word shingles, or
     its whole sequence if it is shorter.  Documents link when the Jaccard similarity of their sets is
-    ``percent`` or more; ``component_id`` is the smallest id that links reach.
+    ``percent`` or more; ``component_id`` is the smallest id that links reach, ``n_links``
+    the number of other rows that the document links with, equal sets included.
 
     1. One pass makes sets, and counts shingles in a table of fixed size: the
        global order is (bucket count, shingle).  Equal sets form a class, and
@@ -246,7 +245,8 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
        are joined by shingle; lengths, places and profiles (upper bounds of the
        overlap) sort out most pairs.  What is left spans candidate components.
     3. The sets of a component meet once, in one task, or block by block if they
-       are many, in a prefix tree, most common shingle first.  It decides exactly.
+       are many, in a prefix tree, most common shingle first.  It decides exactly, and
+       finds all partners of a class; their members are summed in the task.
 
     A text that is null, empty or without words has no set and stays alone.  Null ids
     count as larger than any other; repeated rows are one class.  An empty table gives an empty result.
@@ -283,7 +283,7 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     for r in made.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toArrow().to_batches():  # at most BUCKETS rows
         count[r.column(0).to_numpy()] = r.column(1).to_numpy()
     shared = spark.sparkContext.broadcast(count.astype(np.int64))
-    classes = cut(each.where("n > 0").groupBy("digest", "cls").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("key"),
+    classes = cut(each.where("n > 0").groupBy("digest", "cls").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("key"), F.count("*").alias("members"),
                                                                   F.first("n").alias("n"), F.first("profile").alias("profile")), "classes")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,57 +356,80 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
            .mapInArrow(candidates, "a long, b long"))
     component = connected_components(met.unionByName(hot), "candidates")
     near = cut(classes.join(component.withColumnRenamed("node", "cls"), "cls")
-               .select("digest", "least", "key", "n", F.col("component").alias("comp")), "candidate-classes")
+               .select("digest", "least", "key", "n", "members", F.col("component").alias("comp")), "candidate-classes")
     blocks = near.groupBy("comp").agg(F.sum("n").alias("total"))
     blocks = blocks.select("comp", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"))
     placed = near.join(blocks, "comp").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     # Every two blocks meet in one job, and with them the members of each.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.select("least", "digest", "comp", "own", "blocks", other.alias("other")).where("own != other or blocks = 1").select(
-        "least", "digest", F.struct("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("job"))
-    wanted = placed.select(F.col("least").alias("id"), F.col("digest").alias("d"), "job")
+    placed = placed.select("least", "digest", "members", "comp", "own", "blocks", other.alias("other")).where("own != other or blocks = 1").select(
+        "least", "digest", "members", "own", F.struct("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("job"))
+    wanted = placed.select(F.col("least").alias("id"), F.col("digest").alias("d"), "members", "own", "job")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, count = WordHasher(), shared.value
-        job, digests, sets, links = None, [], [], []
+        job, digests, members, owns, sets = None, [], [], [], []
 
-        def close() -> None:
+        def close() -> Iterator[pa.RecordBatch]:
             if len(sets) > 1:
-                links.extend((digests[a], digests[b]) for a, b in spanning_links(sets, count, percent))
-            digests.clear()
-            sets.clear()
+                _, i, j = job
+                weight, own = np.array(members), np.array(owns)
+                # Two sets of one block meet in all jobs of the block, and count in one of them.
+                here = (own == i) | (own == j) if i == j else (i == 0) & ((own == j) | (j == 1))
+                out = []
+                for a, found, new in links_of(sets, count, percent):
+                    found_here = found[(own[found] != own[a]) | here[a]]
+                    if listed:
+                        out += [(digests[a], digests[b], 1) for b in found_here.tolist() if digests[a] < digests[b]]
+                    else:
+                        out += [(digests[a], digests[b], None) for b in new.tolist()]
+                        if len(found_here):
+                            out.append((digests[a], None, int(weight[found_here].sum())))
+                    if len(out) > 100_000:
+                        yield links_batch(out)
+                        out = []
+                if out:
+                    yield links_batch(out)
+            for x in (digests, members, owns, sets):
+                x.clear()
+
+        def links_batch(rows: list[tuple]) -> pa.RecordBatch:
+            a, b, links = zip(*rows, strict=True)
+            return pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(links, pa.int64())], names=["a", "b", "links"])
 
         for batch in batches:
-            keys = zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
-            for (*now, d), s in zip(keys, sets_of(batch.column(4), hasher), strict=True):
+            keys = zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True)
+            for (*now, d, m, own), s in zip(keys, sets_of(batch.column(6), hasher), strict=True):
                 if now != job:
-                    close()
+                    yield from close()
                     job = now
                 if (not digests or digests[-1] != d) and _digest(s) == d:
                     digests.append(d)
+                    members.append(m)
+                    owns.append(own)
                     sets.append(s)
-            if links:
-                a, b = zip(*links, strict=True)
-                yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-                links.clear()
-        close()
-        if links:
-            a, b = zip(*links, strict=True)
-            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        yield from close()
 
     near_texts = _marked(texts, near.select("least"))
     sent = (near_texts.join(wanted, near_texts["doc_id"].eqNullSafe(wanted["id"]))
-            .select("job.comp", "job.i", "job.j", "d", "text").repartition("comp", "i", "j")
+            .select("job.comp", "job.i", "job.j", "d", "members", "own", "text").repartition("comp", "i", "j")
             .sortWithinPartitions("comp", "i", "j", "d"))
-    linked = connected_components(sent.mapInArrow(exact, "a binary, b binary"), "links")
+    made = sent.mapInArrow(exact, "a binary, b binary, links long")
+    if listed:
+        a, b = F.xxhash64("a"), F.xxhash64("b")
+        return made.select(F.least(a, b).alias("class_a"), F.greatest(a, b).alias("class_b"))
+    made = cut(made, "exact")
+    n_links = made.where("b is null").groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("links"))
+    linked = connected_components(made.where("b is not null").select("a", "b"), "links")
     groups = linked.select(F.col("node").alias("digest"), "component").join(classes.select("digest", "least"), "digest")
     least = groups.groupBy("component").agg(F.min("least").alias("group_least"))
-    of_class = classes.select("digest", "least").join(
-        groups.join(least, "component").select("digest", "group_least"), "digest", "left")
-    of_class = of_class.select("digest", F.coalesce("group_least", "least").alias("component_id"))
-    out = each.where("n > 0").join(of_class, "digest").select("doc_id", "n", "component_id", "cls", "text_key")
-    alone = each.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("cls"), "text_key")
-    return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "text_key")
+    of_class = classes.select("digest", "least", "members").join(
+        groups.join(least, "component").select("digest", "group_least"), "digest", "left").join(n_links, "digest", "left")
+    of_class = of_class.select("digest", F.coalesce("group_least", "least").alias("component_id"),
+                               (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = each.where("n > 0").join(of_class, "digest").select("doc_id", "n", "component_id", "cls", "n_links", "text_key")
+    alone = each.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("cls"), F.lit(0).cast("long").alias("n_links"), "text_key")
+    return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "n_links", "text_key")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
