@@ -5,8 +5,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The two word definitions of the contracts, as regular expressions.
@@ -63,6 +66,66 @@ def text_key(c: Column) -> Column:
     return F.coalesce(F.xxhash64(c), F.lit(0))
 
 
+def ordered_sums(df: DataFrame, group: str, order: list[Column], values: list[str], name: str,
+                 facts: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``before_<v>``, the sum of the longs ``v`` over the rows of the same
+    ``group`` that come earlier by ``order``, and ``all_<v>``, over the whole group
+    (null is a group of its own).  ``facts``, one row a group, adds its columns.
+
+    Rows are dealt out by ranges of (group, order), so a group of any size is
+    spread over tasks.  Each range sums up on its own; ranges' totals (at most one
+    row for each range that a group meets) become offsets, and are joined back by
+    (group, range), which splits a hot group as the ranges do.
+    """
+    keys = [F.col(group).asc_nulls_first(), *order]
+    kinds = df.select(group, *values).schema
+    at = [df.columns.index(c) for c in (group, *values)]
+    fields = [*df.schema.fields, *(f for f in df.select(*(F.lit(0).cast("long").alias(c) for c in ("__range", *(f"__in_{v}" for v in values)))).schema.fields)]
+    schema = type(kinds)(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        last, carry = None, [0] * len(values)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            code = batch.column(at[0]).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            start = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            of = np.repeat(np.arange(len(start)), np.diff(np.r_[start, n]))
+            first = (batch.column(at[0])[0].as_py(),)
+            cols = []
+            for k, i in enumerate(at[1:]):
+                v = batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)
+                total = np.cumsum(v)
+                before = total - v
+                inner = before - before[start][of]
+                if first == last:
+                    inner[of == 0] += carry[k]
+                carry[k] = int(inner[-1] + v[-1])
+                cols.append(pa.array(inner))
+            last = (batch.column(at[0])[n - 1].as_py(),)
+            yield pa.record_batch([*batch.columns, pa.array(np.full(n, part)), *cols], names=[f.name for f in fields])
+
+    dealt = cut(df.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema), name)
+    parts = dealt.groupBy(F.col(group).alias("__group"), F.col("__range").alias("__of")).agg(
+        *(F.max(F.col(f"__in_{v}") + F.col(v)).alias(f"__sum_{v}") for v in values))
+    of_group = Window.partitionBy("__group")
+    earlier = of_group.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__group", "__of", *(F.coalesce(F.sum(f"__sum_{v}").over(earlier), F.lit(0)).alias(f"__off_{v}") for v in values),
+                         *(F.sum(f"__sum_{v}").over(of_group).alias(f"all_{v}") for v in values))
+    more = []
+    if facts is not None:
+        more = [c for c in facts.columns if c != group]
+        parts = parts.join(facts.withColumnRenamed(group, "__key"), F.col("__group").eqNullSafe(F.col("__key"))).drop("__key")
+    parts = cut(parts, f"{name}-offsets")
+    out = dealt.join(parts, dealt[group].eqNullSafe(parts["__group"]) & (dealt["__range"] == parts["__of"]))
+    return out.select(*(dealt[c] for c in df.columns), *((F.col(f"__in_{v}") + F.col(f"__off_{v}")).alias(f"before_{v}") for v in values),
+                      *(f"all_{v}" for v in values), *more)
+
+
 def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph as ``(node, component)``, component
     being the smallest node reachable; nodes without an edge do not appear.

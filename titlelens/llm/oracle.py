@@ -73,3 +73,51 @@ found AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
 SELECT docs.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit_words ON docs.doc_id = hit_words.doc_id LEFT JOIN found ON docs.doc_id = found.doc_id"""
+
+
+def merkle(fan: int = 16) -> str:
+    """Trees by levels, then every document's way up: siblings level by level, and the fold of what is found."""
+    field = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR)))::VARCHAR || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*(field(c) for c in ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # crc32 of the decimal id, bit by bit
+    bits = "list_reduce([4294967295::BIGINT] || range(8 * length(k)), lambda c, i: xor(((CASE WHEN i % 8 = 0 THEN xor(c, ascii(k[(i // 8 + 1)::INT])) ELSE c END) >> 1), 3988292384 * ((CASE WHEN i % 8 = 0 THEN xor(c, ascii(k[(i // 8 + 1)::INT])) ELSE c END) & 1)))"
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, {leaf("text")} AS leaf, {leaf(low)} AS other, CAST(doc_id AS VARCHAR) AS k FROM documents),
+marked AS (SELECT doc_id, source, leaf, CASE WHEN xor({bits}, 4294967295) % 5 = 0 THEN other ELSE leaf END AS found FROM docs),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS total FROM marked),
+climb AS (
+  SELECT source, 0 AS level, idx, total, leaf AS digest FROM placed
+  UNION ALL
+  SELECT source, level + 1, idx // {fan}, any_value((total + {fan - 1}) // {fan}), sha256(string_agg(digest, '' ORDER BY idx)) FROM climb WHERE total > 1 GROUP BY source, level, idx // {fan}),
+subroots AS (
+  SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS seat, count(*) OVER () AS total FROM climb WHERE total = 1),
+above AS (
+  SELECT 0 AS level, seat AS idx, total, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // {fan}, any_value((total + {fan - 1}) // {fan}), sha256(string_agg(digest, '' ORDER BY idx)) FROM above WHERE total > 1 GROUP BY level, idx // {fan}),
+top AS (SELECT digest AS root, level AS height FROM above WHERE total = 1),
+nodes AS (
+  SELECT s.seat AS tree, c.level, c.idx, c.digest FROM climb AS c JOIN subroots AS s ON c.source IS NOT DISTINCT FROM s.source WHERE c.total > 1
+  UNION ALL
+  SELECT -1, level, idx, digest FROM above WHERE total > 1),
+runs AS (SELECT tree, level, idx // {fan} AS run, list(digest ORDER BY idx) AS kids FROM nodes GROUP BY tree, level, idx // {fan}),
+leaves AS (
+  SELECT row_number() OVER () AS no, p.doc_id, p.leaf, p.found, p.idx, s.seat, s.subroot, s.height, top.root, top.height AS rest
+  FROM placed AS p JOIN subroots AS s ON p.source IS NOT DISTINCT FROM s.source, top),
+fold AS (
+  SELECT no, 0 AS step, found AS digest, '' AS proof FROM leaves
+  UNION ALL
+  SELECT f.no, f.step + 1,
+         sha256(array_to_string(list_concat(kids[1:w.slot], [f.digest], kids[w.slot + 2:]), '')),
+         f.proof || array_to_string(list_concat(kids[1:w.slot], kids[w.slot + 2:]), '')
+  FROM fold AS f JOIN (
+    SELECT no, step, CASE WHEN step < height THEN seat ELSE -1 END AS tree, CASE WHEN step < height THEN step ELSE step - height END AS level,
+           (CASE WHEN step < height THEN idx ELSE seat END // CAST({fan} ** (CASE WHEN step < height THEN step ELSE step - height END) AS BIGINT)) AS node,
+           node % {fan} AS slot
+    FROM (SELECT *, unnest(range(height + rest)) AS step FROM leaves)) AS w ON f.no = w.no AND f.step = w.step
+  JOIN runs AS r ON r.tree = w.tree AND r.level = w.level AND r.run = w.node // {fan})
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, digest AS folded_root, digest = root AS verified
+FROM leaves JOIN fold ON leaves.no = fold.no AND step = height + rest"""

@@ -85,12 +85,32 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=4096, end_id=1)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.merkle import merkle_check
+
+    return merkle_check(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titlelens.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_ngram_jaccard_join, op4_pii_surrogates, op5_language_id, op6_line_dedup, op7_substring_dedup, op8_best_fit_packing, op9_license_scan, op10_decontaminate)
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_ngram_jaccard_join, op4_pii_surrogates, op5_language_id, op6_line_dedup, op7_substring_dedup, op8_best_fit_packing, op9_license_scan, op10_decontaminate,
+                              op11_merkle_manifest, op12_embedding_whitening, op13_source_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": oracle.quality(),
     "op7_substring_dedup": oracle.repeats(),
     "op10_decontaminate": oracle.contamination(),
+    "op11_merkle_manifest": oracle.merkle(),
 }
