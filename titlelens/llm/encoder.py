@@ -6,6 +6,7 @@ import json
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,27 +21,40 @@ _LATIN = re.compile(rf"[!-~{_LETTERS}]+").fullmatch
 
 
 class _Words(dict):
-    """Ids of a white-space delimited word, as little-endian bytes."""
+    """Ids of a white-space delimited word, as little-endian bytes.
 
-    def __init__(self, tok: Tokenizer, dtype: str):
+    Up to ``most`` young entries, and the generation before them: when the young are
+    full they become the old ones, and an old entry that is met again is young once
+    more.  So frequent words stay, and no more than twice ``most`` are held.  A word of several
+    pieces has the ids of these, each of which is a word as well.
+    """
+
+    def __init__(self, tok: Tokenizer, code: str, most: int):
         super().__init__()
-        self.tok, self.dtype, self.model, self.pieces = tok, dtype, tok.model, {}
+        self.tok, self.model, self.code, self.most, self.old = tok, tok.model, code, most, {}
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         # The library's own spelling of bytes, letter by letter.
         self.spell = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x17F)}
 
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if b"<|" in word or not _LATIN(text):  # added tokens and other scripts: the library's whole path
-            out = np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        else:
-            out = b""
-            for piece in _LATIN_SPLIT.findall(text.lower()):
-                got = self.pieces.get(piece)
-                if got is None:
-                    ids = [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.spell))]
-                    got = self.pieces[piece] = np.array(ids, self.dtype).tobytes()
-                out += got
+        out = self.old.pop(word, None)
+        if out is None:
+            text = word.decode()
+            if b"<|" in word or not _LATIN(text):  # added tokens and other scripts: the library's whole path
+                out = array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                low = text.lower()
+                pieces = (low,) if low.isalpha() else _LATIN_SPLIT.findall(low)
+                if pieces[0] == text:
+                    spelled = text if text.isascii() else text.translate(self.spell)
+                    out = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+                else:
+                    out = b"".join([self[p.encode()] for p in pieces])
         self[word] = out
         return out
 
@@ -49,17 +63,17 @@ class Encoder:
     """``encode(text)`` equals ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     A vocabulary whose split rule drops white space gives a text the ids of its
-    words one after another, so ids are kept by word, up to ``max_words``
-    of them at a time; other vocabularies encode the text as it is.
+    words one after another, so ids are kept by word, ``max_words`` met lately and
+    as many met before; other vocabularies encode the text as it is.
     """
 
-    def __init__(self, path: str, max_words: int = 200_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         self.dtype = "<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.max_words = max_words
-        self.words = _Words(self.tok, self.dtype) if self._drops_space(conf) else None
+        little = sys.byteorder == "little"
+        self.words = _Words(self.tok, "H" if self.dtype == "<u2" else "I", max_words) if little and self._drops_space(conf) else None
 
     @staticmethod
     def _drops_space(conf: dict) -> bool:
@@ -75,9 +89,7 @@ class Encoder:
             return np.zeros(0, self.dtype)
         if self.words is None:
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
-        if max(len(self.words), len(self.words.pieces)) > self.max_words:
-            self.words.clear()
-            self.words.pieces.clear()
+        self.words.age()
         # bytes.split() splits at ASCII white space only; the rest stays inside a word.
         return np.frombuffer(b"".join(map(self.words.__getitem__, text.encode().split())), self.dtype)
 

@@ -27,12 +27,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
         from pyspark import TaskContext
 
         enc = encoder(tokenizer)
-        end = np.array([end_id], enc.dtype)
+        end = np.array([end_id], "<u4")
         uid = TaskContext.get().partitionId() << 36
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.concatenate((enc.encode(text), end)).astype("<u4")
+                ids = np.concatenate((enc.encode(text), end), dtype="<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at:at + capacity]
                     for col, v in zip(cols, (i, k, at, len(part), zlib.crc32(part.tobytes()), uid), strict=True):
