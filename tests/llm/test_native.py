@@ -52,6 +52,16 @@ def test_host_verdict_reaches_failing_documents_only(spark):
     assert flags == {"bad": True} | {f"good{i}": False for i in range(5)}
 
 
+def test_hosts_that_fail_as_a_whole(spark):
+    """All rates are 0 or 1: the fitted weight is none, and must not turn into a strong prior."""
+    clean = " ".join(f"clean{k}" for k in range(60))
+    data = [(i, clean + " #" * 20, "bad") for i in range(60)] + [(100 + i, clean, f"good{i % 19}") for i in range(190)]
+    df = spark.createDataFrame(data, DOC)
+    assert {r.doc_id for r in quality_report(df).where("kept").collect()} == set(range(100, 290))
+    assert {r.doc_id for r in quality_filter(df).collect()} == set(range(100, 290))
+    assert {r.doc_id for r in quality_report(df.where("source = 'bad'")).where("kept").collect()} == set()
+
+
 def test_decontaminate(spark):
     docs, items = read("documents", "doc_id", "text"), read("benchmark", "item_id", "text")
     got = rows(queries.op10_decontaminate(spark, SF))

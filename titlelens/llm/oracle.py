@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from titlelens.llm.common import ALNUM_WORD, SPACE_WORD
-from titlelens.llm.quality import FLAT_PRIOR, HOST_RATE, RULES
+from titlelens.llm.quality import FLAT_PRIOR, HOST_RATE, LEAST_PRIOR, RULES
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -12,7 +12,8 @@ def quality() -> str:
     """Words by position, windows as rows, then the rules by host with the same prior."""
     sums = ", ".join(f"sum(CAST(({rule}) AS INT)) / count(*) AS rate_{r}, sum(CAST(({rule}) AS INT)) AS failed_{r}" for r, rule in RULES.items())
     prior = ", ".join(f"avg(rate_{r}) AS m_{r}, var_pop(rate_{r}) AS v_{r}" for r in RULES)
-    weight = {r: f"CASE WHEN v_{r} > 0 AND m_{r} * (1 - m_{r}) / v_{r} > 1 THEN m_{r} * (1 - m_{r}) / v_{r} - 1 ELSE {FLAT_PRIOR} END" for r in RULES}
+    # a beta distribution with mean m and variance v has parameters that sum to m (1 - m) / v - 1
+    weight = {r: f"if(v_{r} = 0, {FLAT_PRIOR}, greatest({LEAST_PRIOR}, m_{r} * (1 - m_{r}) / v_{r} - 1))" for r in RULES}
     flags = ", ".join(f"(failed_{r} + m_{r} * ({w})) / (n + ({w})) > {HOST_RATE} AS flag_{r}" for r, w in weight.items())
     fails = " OR ".join(f"(({rule}) AND coalesce(flag_{r}, false))" for r, rule in RULES.items())
     return f"""

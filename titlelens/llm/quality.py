@@ -12,8 +12,9 @@ from titlelens.llm.common import SPACE_WORD, cut, words
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 #: A host is flagged on a rule when its shrunken failure rate is above this.
 HOST_RATE = 0.5
-#: Weight of the prior, in documents, where the hosts' rates do not differ enough to fit one.
-FLAT_PRIOR = 100.0
+#: Weight of the prior, in documents, where all hosts have the same rate, and the least weight of any:
+#: where hosts fail as a whole or not at all, the fit would give none.
+FLAT_PRIOR, LEAST_PRIOR = 100.0, 1.0
 
 # Rules that a document can fail; all but the first two count only where the host is flagged on them.
 RULES: dict[str, str] = {
@@ -70,8 +71,9 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
     one row a host, null hosts left out.
 
     The beta prior of a rule is fitted by moments to the failure rates of all
-    hosts (mean ``m`` and variance ``v``: weight ``m (1 - m) / v - 1``), so a host with few
-    documents stays near the mean and one with many keeps its own rate.
+    hosts (mean ``m`` and variance ``v``: weight ``m (1 - m) / v - 1``, at least
+    ``LEAST_PRIOR``, and ``FLAT_PRIOR`` if ``v`` is 0), so a host with few documents stays
+    near the mean and one with many keeps its own rate; the more hosts differ, the less a host is drawn to the mean.
     """
     hosts = measured.where(F.col(host).isNotNull()).groupBy(host).agg(
         F.count("*").alias("n_docs"), *(F.sum(F.expr(rule).cast("long")).alias(f"{r}_failed") for r, rule in RULES.items()))
@@ -83,8 +85,7 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
     out = hosts
     for r in RULES:
         m, v = prior[f"m_{r}"] or 0.0, prior[f"v_{r}"] or 0.0
-        weight = m * (1 - m) / v - 1 if v > 0 else FLAT_PRIOR
-        weight = weight if weight > 0 else FLAT_PRIOR
+        weight = max(m * (1 - m) / v - 1, LEAST_PRIOR) if v > 0 else FLAT_PRIOR
         out = out.withColumn(f"{r}_rate", (F.col(f"{r}_failed") + m * weight) / (F.col("n_docs") + weight))
         out = out.withColumn(f"{r}_flag", F.col(f"{r}_rate") > HOST_RATE)
     return out
