@@ -3,6 +3,7 @@ cut lineage, connected components, and small column expressions."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,13 +41,43 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables that ``cut`` has written: path, and a weak reference to the file listing that every plan over it shares.
+_WRITTEN: list[tuple[str, object]] = []
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: later
     steps reuse the rows instead of recomputing them, and a lost executor
     costs a re-read of a file and no more."""
-    path = fresh_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    listing = out._jdf.queryExecution().analyzed().relation().location()
+    _WRITTEN.append((path, spark._jvm.java.lang.ref.WeakReference(listing)))
+    out._written = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _WRITTEN[:] = [x for x in _WRITTEN if x[0] != path]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` has returned and that no plan reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, t._written)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete every table of ``cut`` that no plan in this driver can read any more.
+    As long as a DataFrame made from such a table exists, the JVM holds its listing."""
+    gc.collect()
+    spark._jvm.System.gc()
+    for path in [p for p, listing in _WRITTEN if listing.get() is None]:
+        _delete(spark, path)
 
 
 def ascii_lower(c: Column) -> Column:
@@ -66,6 +97,35 @@ def text_key(c: Column) -> Column:
     return F.coalesce(F.xxhash64(c), F.lit(0))
 
 
+#: Bits that mark heavy keys: a table of at most HEAVY_BITS / 64 rows, and the parts into which a heavy key's rows are dealt.
+HEAVY_BITS, SALTS = 1 << 20, 64
+
+
+def salted(rows: DataFrame, facts: DataFrame, keys: list[str], heavy: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` and ``facts`` with a column ``__salt``, to be joined by ``keys`` and it.
+
+    ``facts`` has one row a key.  Where ``heavy`` holds, its row is repeated for every
+    salt and the key's ``rows`` are dealt out over the salts, so that no task gets all of
+    them.  Which keys are heavy is told by a bitmap of hashed keys of fixed size; keys that
+    share a bit with a heavy one are treated alike on both sides.
+    """
+    mark = F.xxhash64(*(F.col(k) for k in keys)).bitwiseAND(HEAVY_BITS - 1)
+    marks = facts.where(heavy).select(mark.alias("m")).selectExpr("shiftright(m, 6) AS __word", "shiftleft(1L, cast(m & 63 AS int)) AS bit")
+    marks = cut(marks.groupBy("__word").agg(F.bit_or("bit").alias("__bits")), name)
+    if not marks.limit(1).count():
+        return rows.withColumn("__salt", F.lit(0)), facts.withColumn("__salt", F.lit(0))
+
+    def add(df: DataFrame, salt: Column) -> DataFrame:
+        hit = F.col("__bits").isNotNull() & F.expr("(shiftrightunsigned(__bits, cast(__mark & 63 AS int)) & 1) = 1")
+        marked = df.withColumn("__mark", mark).withColumn("__at", F.shiftright(F.col("__mark"), 6))
+        joined = marked.join(F.broadcast(marks), F.col("__at") == F.col("__word"), "left")
+        return joined.withColumn("__hit", hit).select(*(df[c] for c in df.columns), salt.alias("__salt"))
+
+    dealt = F.when(F.col("__hit"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))).otherwise(0).cast("int")
+    every = F.explode(F.when(F.col("__hit"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    return add(rows, dealt), add(facts, every)
+
+
 def ordered_sums(df: DataFrame, group: str, order: list[Column], values: list[str], name: str,
                  facts: DataFrame | None = None) -> DataFrame:
     """``df`` with ``before_<v>``, the sum of the longs ``v`` over the rows of the same
@@ -145,11 +205,12 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(least, "u").where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct())
-        large = cut(large, f"{name}-large")
+        large, before = cut(large, f"{name}-large"), e
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = cut(small, f"{name}-small")
+        discard(large, before)
         # The contraction has settled when the edges form stars: no centre is itself a leaf, no leaf has two centres.
         stats = e.agg(F.count("*").alias("n"), F.count_distinct("u").alias("leaves"), F.sum(F.xxhash64("v").cast("decimal(20,0)")).alias("s")).first()
         chained = e.select("u").join(e.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count()

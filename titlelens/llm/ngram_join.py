@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlelens.llm.common import connected_components, cut, text_key
+from titlelens.llm.common import connected_components, cut, discard, salted, text_key
 from titlelens.llm.shingles import WordHasher, ngrams, split_words
 
 #: Shingles are counted in this many buckets: a table of fixed size, whatever the corpus.
@@ -19,6 +19,8 @@ BUCKETS = 1 << 18
 BINS = 128
 #: An n-gram in more prefixes than this joins them without a look at profiles.
 HOT = 4000
+#: Rows of a class beyond which they are dealt out over tasks when its results are joined to them.
+HOT_CLASS = 1000
 #: Shingles of one block of a candidate component; larger components are joined block by block.
 BLOCK = 4_000_000
 #: Bits that mark the ids of wanted documents: a table of 2 MB, whatever their number.
@@ -203,23 +205,31 @@ def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def _marked(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id, text`` of the rows whose id may be one of ``ids``, told in the scan
-    by a bitmap of hashed ids, so that only these texts are shuffled. A full bitmap lets all pass."""
-    at = F.xxhash64("doc_id").bitwiseAND(MARKS - 1).alias("mark")
-    words = ids.select(F.col(ids.columns[0]).alias("doc_id")).select(at).selectExpr("shiftright(mark, 6) AS word", "shiftleft(1L, cast(mark & 63 AS int)) AS bit")
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, text_key, text`` of the rows whose (id, text hash) may be one of ``wanted``, told in the scan
+    by a bitmap of hashed pairs, so that only these texts are shuffled. A full bitmap lets all pass."""
+    at = lambda i, k: F.xxhash64(i, k).bitwiseAND(MARKS - 1).alias("mark")
+    words = wanted.select(at(*wanted.columns)).selectExpr("shiftright(mark, 6) AS word", "shiftleft(1L, cast(mark & 63 AS int)) AS bit")
     table = np.zeros(MARKS >> 6, np.uint64)
     for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow().to_batches():  # at most MARKS / 64 rows
         table[r.column(0).to_numpy()] = r.column(1).to_numpy().view(np.uint64)
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()  # a row that repeats id and text need not be sent again
         for batch in batches:
-            mark = batch.column(2).to_numpy()
-            hit = (shared.value[mark >> 6] >> (mark & 63).astype(np.uint64)) & np.uint64(1)
-            yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+            mark = batch.column(3).to_numpy()
+            hit = np.flatnonzero((shared.value[mark >> 6] >> (mark & 63).astype(np.uint64)) & np.uint64(1))
+            some = batch.select([0, 1, 2]).take(pa.array(hit))
+            new = []
+            for row in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                new.append(row not in seen)
+                seen.add(row)
+            if len(seen) > 500_000:
+                seen.clear()
+            yield some.filter(pa.array(new, pa.bool_()))
 
-    return texts.select("doc_id", "text", at).mapInArrow(pick, "doc_id long, text string")
+    return texts.select("doc_id", "text_key", "text", at("doc_id", "text_key")).mapInArrow(pick, "doc_id long, text_key long, text string")
 
 
 def class_links(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,7 +293,7 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     for r in made.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toArrow().to_batches():  # at most BUCKETS rows
         count[r.column(0).to_numpy()] = r.column(1).to_numpy()
     shared = spark.sparkContext.broadcast(count.astype(np.int64))
-    classes = cut(each.where("n > 0").groupBy("digest", "cls").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("key"), F.count("*").alias("members"),
+    classes = cut(each.where("n > 0").groupBy("digest", "cls").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("least"), F.count("*").alias("members"),
                                                                   F.first("n").alias("n"), F.first("profile").alias("profile")), "classes")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,6 +329,7 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     common = prefix.groupBy("gram").agg(F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("k")).where("a < b")
     pairs = prefix.join(common, "gram").select("gram", "cls", "place", "a", "k")
     pairs = cut(pairs, "shared-prefixes")
+    discard(prefix)
     # A hot n-gram joins all that have it to the least of them; the exact step decides.
     hot = pairs.where((F.col("k") > HOT) & (F.col("a") != F.col("cls"))).select("a", F.col("cls").alias("b"))
     facts = classes.select("cls", "n", "profile").dropDuplicates(["cls"])
@@ -330,8 +341,8 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
             keep = _partnered(gram, table.column(1).to_numpy(), place >> 24, place & 0xFFFFFF, percent)
             yield from table.filter(pa.array(keep)).to_batches()
 
-    cool = cut(cool.repartition("gram").sortWithinPartitions("gram").mapInArrow(partnered, "gram long, cls long, place long"), "partnered-prefixes")
-    cool = cool.select("gram", "cls").join(facts, "cls")
+    cool_rows = cut(cool.repartition("gram").sortWithinPartitions("gram").mapInArrow(partnered, "gram long, cls long, place long"), "partnered-prefixes")
+    cool = cool_rows.select("gram", "cls").join(facts, "cls")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emitted: set[tuple[int, int]] = set()
@@ -355,16 +366,17 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     met = (cool.select("gram", "cls", "n", "profile").repartition("gram").sortWithinPartitions("gram", "cls")
            .mapInArrow(candidates, "a long, b long"))
     component = connected_components(met.unionByName(hot), "candidates")
+    discard(pairs, cool_rows)
     near = cut(classes.join(component.withColumnRenamed("node", "cls"), "cls")
-               .select("digest", "least", "key", "n", "members", F.col("component").alias("comp")), "candidate-classes")
+               .select("digest", F.col("first.doc_id").alias("least"), F.col("first.text_key").alias("key"), "n", "members", F.col("component").alias("comp")), "candidate-classes")
     blocks = near.groupBy("comp").agg(F.sum("n").alias("total"))
     blocks = blocks.select("comp", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"))
     placed = near.join(blocks, "comp").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     # Every two blocks meet in one job, and with them the members of each.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.select("least", "digest", "members", "comp", "own", "blocks", other.alias("other")).where("own != other or blocks = 1").select(
-        "least", "digest", "members", "own", F.struct("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("job"))
-    wanted = placed.select(F.col("least").alias("id"), F.col("digest").alias("d"), "members", "own", "job")
+    placed = placed.select("least", "key", "digest", "members", "comp", "own", "blocks", other.alias("other")).where("own != other or blocks = 1").select(
+        "least", "key", "digest", "members", "own", F.struct("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("job"))
+    wanted = placed.select(F.col("least").alias("id"), "key", F.col("digest").alias("d"), "members", "own", "job")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, count = WordHasher(), shared.value
@@ -410,8 +422,9 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
                     sets.append(s)
         yield from close()
 
-    near_texts = _marked(texts, near.select("least"))
-    sent = (near_texts.join(wanted, near_texts["doc_id"].eqNullSafe(wanted["id"]))
+    # A text is known by its id and its hash: any number of texts may share an id, or have none.
+    near_texts = _marked(texts, near.select("least", "key"))
+    sent = (near_texts.join(wanted, near_texts["doc_id"].eqNullSafe(wanted["id"]) & (near_texts["text_key"] == wanted["key"]))
             .select("job.comp", "job.i", "job.j", "d", "members", "own", "text").repartition("comp", "i", "j")
             .sortWithinPartitions("comp", "i", "j", "d"))
     made = sent.mapInArrow(exact, "a binary, b binary, links long")
@@ -426,8 +439,11 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     of_class = classes.select("digest", "least", "members").join(
         groups.join(least, "component").select("digest", "group_least"), "digest", "left").join(n_links, "digest", "left")
     of_class = of_class.select("digest", F.coalesce("group_least", "least").alias("component_id"),
-                               (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = each.where("n > 0").join(of_class, "digest").select("doc_id", "n", "component_id", "cls", "n_links", "text_key")
+                               (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "members")
+    # A third of all rows may be copies of one text.
+    of_class = cut(of_class, "classes-with-links")
+    rows, of_class = salted(each.where("n > 0"), of_class, ["digest"], F.col("members") > HOT_CLASS, "hot-classes")
+    out = rows.join(of_class, ["digest", "__salt"]).select("doc_id", "n", "component_id", "cls", "n_links", "text_key")
     alone = each.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("cls"), F.lit(0).cast("long").alias("n_links"), "text_key")
     return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "n_links", "text_key")
 
