@@ -101,8 +101,8 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
         hasher = WordHasher()
         names = ["doc", "text_key", "n_words", "sha", "phrase"]
         for batch in batches:
-            n_words, sha, phrases, owners = [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            n_words, sha, phrases, owners, keys = [], [], [], [], []
+            for doc, text, key in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 words = split_words(text)
                 n_words.append(len(words))
                 sha.append(_sha(words))
@@ -110,25 +110,29 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                     least = np.unique(window_least(runs(hasher(words), gram), slack + 1))
                     phrases.append(least)
                     owners.append(np.full(len(least), doc))
+                    keys.append(np.full(len(least), key))
             n = batch.num_rows
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n_words, pa.int64()), pa.array(sha, pa.string()), pa.nulls(n, pa.int64())], names=names)
             if phrases:
                 p = pa.array(np.concatenate(phrases).view(np.int64))
-                yield pa.record_batch([pa.array(np.concatenate(owners), pa.int64()), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.string()), p], names=names)
+                yield pa.record_batch([pa.array(np.concatenate(owners), pa.int64()), pa.array(np.concatenate(keys), pa.int64()), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.string()), p], names=names)
 
     made = cut(texts.mapInArrow(sample, "doc long, text_key long, n_words long, sha string, phrase long"), "phrases")
     each = made.where("phrase is null").select("doc", "text_key", "n_words", "sha")
-    phrases = made.where("phrase is not null").select("doc", "phrase")
-    recurring = cut(phrases.groupBy("phrase").agg(F.min("doc").alias("owner"), F.max("doc").alias("most"))
-                    .where("owner < most").select("phrase", "owner"), "recurring")
+    phrases = made.where("phrase is not null").select("doc", "text_key", "phrase")
+    # Everything goes by (id, text hash): texts that share an id, or have none, are routed each on its own.
+    recurring = cut(phrases.groupBy("phrase").agg(F.min(F.struct("doc", "text_key")).alias("first"), F.max("doc").alias("most"))
+                    .where("first.doc < most").select("phrase", F.col("first.doc").alias("owner"), F.col("first.text_key").alias("owner_key")), "recurring")
     shards = max(1, -(-recurring.count() // SHARD_PHRASES))
-    recurring = recurring.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(shards)))
-    routes = (phrases.join(recurring, "phrase").select("doc", "shard").distinct()
-              .groupBy("doc").agg(F.collect_set("shard").alias("shards")))  # at most one for each sampled phrase of the document
-    owned = recurring.groupBy("owner").agg(F.collect_set("phrase").alias("owned"))
-    routes = routes.join(owned, routes["doc"] == owned["owner"], "left").select(F.col("doc").alias("to"), "shards", "owned")
-    with_text = texts.where("text is not null")  # a null text may share its id with a text that holds repeats
-    held = cut(with_text.join(routes, with_text["doc"] == routes["to"]).select("doc", "text_key", "text", "shards", "owned"), "documents-with-repeats")
+    shard_of = lambda doc, key: F.pmod(F.xxhash64(doc, key), F.lit(shards)).alias("shard")
+    routes = (phrases.join(recurring, "phrase").select("doc", "text_key", shard_of("owner", "owner_key")).distinct()
+              .groupBy("doc", "text_key").agg(F.collect_set("shard").alias("shards")))  # at most one for each sampled phrase of the text
+    owned = recurring.groupBy("owner", "owner_key").agg(F.collect_set("phrase").alias("owned"))
+    routes = routes.join(owned, (routes["doc"] == owned["owner"]) & (routes["text_key"] == owned["owner_key"]), "left").select(
+        F.col("doc").alias("to"), F.col("text_key").alias("to_key"), "shards", "owned")
+    with_text = texts.where("text is not null")
+    held = cut(with_text.join(routes, (with_text["doc"] == routes["to"]) & (with_text["text_key"] == routes["to_key"]))
+               .select("doc", "text_key", "text", "shards", "owned"), "documents-with-repeats")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -143,7 +147,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                 shard += [to] * len(at)
             yield pa.record_batch([pa.array(shard, pa.int64()), pa.array(phrase, pa.binary())], names=["shard", "phrase"])
 
-    spelled = (held.where("owned is not null").select("text", "owned", F.pmod(F.xxhash64("doc"), F.lit(shards)).alias("shard"))
+    spelled = (held.where("owned is not null").select("text", "owned", shard_of("doc", "text_key"))
                .mapInArrow(spell, "shard long, phrase binary").distinct())
     routed = held.select("doc", "text_key", "text", F.explode("shards").alias("shard"))
     load = routed.groupBy("shard").agg(F.ceil(F.sum(F.char_length("text")) / TASK_CHARS).cast("int").alias("tasks"))
