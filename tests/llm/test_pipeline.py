@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import brute
 import corpus_pipeline
-from test_line_dedup import plain
+from test_line_dedup import every_width
 from titlelens.llm.queries import vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -24,7 +24,7 @@ def read(name, *cols):
 
 def expected_documents():
     docs = [(r[0], dict(read("documents", "doc_id", "text"))[r[0]]) for r in brute.quality(read("documents", "doc_id", "text")) if not r[6]]
-    left = plain(docs, 10)
+    left = every_width(docs, 10)
     docs = [(i, left[i]) for i, _ in docs if left[i]]
     docs = [d for d, (i, n, c) in zip(docs, brute.components(docs, 5, 80), strict=True) if n == 0 or i == c]
     bad = {r[0] for r in brute.contaminated(docs, read("benchmark", "item_id", "text")) if r[5]}

@@ -9,25 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlelens.llm.common import SPACE_WORD, cut, text_key
+from titlelens.llm.common import SPACE_WORD, cut, discard, ordered_sums, salted, text_key
 
-#: A line's place is one long: range, document in the range, line; these many bits for the last two.
-DOC_BITS, LINE_BITS = 22, 21
+#: Rows of one run beyond which they are dealt out over tasks.
+HOT_RUN = 1000
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Distinct documents with their lines (hash, length, words) and the place of the
-    first line; places ascend with the document id, null ids last."""
-    line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.octet_length(x).alias("size"), F.regexp_count(x, F.lit(SPACE_WORD)).alias("words"))
+    first line. Places number all lines in the order of the document ids, null ids last, and
+    leave one free behind each document; they are found by range partitions and prefix
+    sums, so neither a document nor a range may have too many lines."""
+    line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.octet_length(x).alias("size"), F.regexp_count(x, F.lit(SPACE_WORD)).cast("long").alias("words"))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
                        F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1), line).alias("lines"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text_key")]
-    rows = rows.dropDuplicates(["doc_id", "text_key"]).repartitionByRange(*order).sortWithinPartitions(*order)
-    part, row = F.spark_partition_id().cast("long"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    fits = (row < 1 << DOC_BITS) & (F.size("lines") < 1 << LINE_BITS) & (part < 1 << (63 - DOC_BITS - LINE_BITS))
-    place = F.when(fits, F.shiftleft(part, DOC_BITS + LINE_BITS) + F.shiftleft(row, LINE_BITS)).otherwise(
-        F.raise_error(F.lit("a range holds too many documents, or a document too many lines; use more partitions")).cast("long"))
-    return rows.withColumn("place", place)
+    rows = rows.dropDuplicates(["doc_id", "text_key"]).select("*", (F.size("lines") + 1).cast("long").alias("n"), F.lit(0).alias("all"))
+    placed = ordered_sums(rows, "all", [F.col("doc_id").asc_nulls_last(), F.col("text_key").asc()], ["n"], "lines")
+    return placed.select("doc_id", "text_key", "lines", F.col("before_n").alias("place"))
 
 
 def _shortest_runs(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,53 +56,59 @@ def repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
     known by the ranks of its first and its last h lines.
 
     Every step is a partial aggregate and an equi-join; a line that a third of all
-    documents hold is combined before it is shuffled, and its rows may be split.
+    documents hold is combined before it is shuffled, and its rows are dealt out over tasks.
     """
-    docs_ = cut(_numbered(docs, id_col, text_col), "lines")
+    docs_ = _numbered(docs, id_col, text_col)
     lines = docs_.select("place", F.posexplode("lines").alias("line", "x")).select(
-        (F.col("place") + F.col("line")).alias("at"), "x.h", "x.size", F.col("x.words").cast("long").alias("words"))
+        "place", (F.col("place") + F.col("line")).alias("at"), "x.h", "x.size", "x.words")
 
     def shortest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["place", "at", "width"]
         for batch in batches:
-            at, width, rows = [], [], 0
+            places, at, width, rows = [], [], [], 0
             counts = batch.column(1)
             for k, place in enumerate(batch.column(0).to_pylist()):
-                start, size = _shortest_runs(counts[k].values.to_numpy(zero_copy_only=False).astype(np.int64), min_words)
+                start, size = _shortest_runs(counts[k].values.to_numpy(zero_copy_only=False), min_words)
                 more = size > 1  # runs of one line need no second rank
                 at.append(place + start[more])
                 width.append(size[more])
+                places.append(np.full(len(at[-1]), place))
                 rows += len(at[-1])
                 if rows > 1_000_000:
-                    yield pa.record_batch([pa.array(np.concatenate(at)), pa.array(np.concatenate(width))], names=["at", "width"])
-                    at, width, rows = [], [], 0
+                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in (places, at, width)], names=names)
+                    places, at, width, rows = [], [], [], 0
             if rows:
-                yield pa.record_batch([pa.array(np.concatenate(at)), pa.array(np.concatenate(width))], names=["at", "width"])
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (places, at, width)], names=names)
 
-    windows = cut(docs_.select("place", F.transform("lines", lambda x: x["words"].cast("long")).alias("words"))
-                  .mapInArrow(shortest, "at long, width long"), "shortest-runs")
+    windows = cut(docs_.select("place", F.transform("lines", lambda x: x["words"]).alias("words"))
+                  .mapInArrow(shortest, "place long, at long, width long"), "shortest-runs")
     widest = windows.agg(F.max("width")).first()[0] or 1
-    keys, width, gone = ["h", "size"], 1, []
+    keys, width, gone, ranked = ["h", "size"], 1, [], None
     runs = lines
     while True:
-        first = runs.groupBy(*keys).agg(F.min("at").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-        ranked = cut(runs.join(first, keys).select("at", F.col("least").alias("rank"), *["words"] * (width == 1)), f"runs-{width}")
+        first = cut(runs.groupBy(*keys).agg(F.min("at").alias("least"), F.count("*").alias("n")).where("n > 1"), f"repeated-runs-{width}")
+        dealt, first = salted(runs, first, keys, F.col("n") > HOT_RUN, f"hot-runs-{width}")
+        ranked, before = cut(dealt.join(first, [*keys, "__salt"]).select("at", F.col("least").alias("rank"), *["place", "words"] * (width == 1)), f"runs-{width}"), ranked
+        if width > 2:
+            discard(before)
         if not ranked.limit(1).count():
             break
         if width == 1:
-            gone.append(ranked.where((F.col("rank") < F.col("at")) & (F.col("words") >= min_words)).select("at", F.lit(1).cast("long").alias("width")))
+            gone.append(ranked.where((F.col("rank") < F.col("at")) & (F.col("words") >= min_words)).select("place", "at", F.lit(1).cast("long").alias("width")))
         else:
             last = ranked.select(F.col("at").alias("last"), F.col("rank").alias("rank_last"))
             here = (windows.where(F.col("width").between(width, 2 * width - 1)).join(ranked, "at")
                     .withColumn("last", F.col("at") + F.col("width") - width).join(last, "last"))
-            here = cut(here.select("at", "width", "rank", "rank_last"), f"shortest-runs-{width}")
+            here = cut(here.select("place", "at", "width", "rank", "rank_last"), f"shortest-runs-{width}")
             same = ["width", "rank", "rank_last"]
-            least = here.groupBy(*same).agg(F.min("at").alias("least"), F.max("at").alias("most")).where("least < most").drop("most")
-            gone.append(here.join(least, same).where("least < at").select("at", "width"))
+            least = cut(here.groupBy(*same).agg(F.min("at").alias("least"), F.max("at").alias("most"), F.count("*").alias("n")).where("least < most"), f"copied-runs-{width}")
+            dealt, least = salted(here, least, same, F.col("n") > HOT_RUN, f"hot-copies-{width}")
+            gone.append(dealt.join(least, [*same, "__salt"]).where("least < at").select("place", "at", "width"))
         if 2 * width > widest:
             break
-        # Places of one document are consecutive, and between two documents lie places that no line has.
+        # Places of one document are consecutive, and between two documents lies a place that no line has.
         after = ranked.select((F.col("at") - width).alias("at"), F.col("rank").alias("rank_after"))
-        runs = ranked.join(after, "at").select("at", "rank", "rank_after")
+        runs = ranked.select("at", "rank").join(after, "at").select("at", "rank", "rank_after")
         keys, width = ["rank", "rank_after"], 2 * width
     base = docs_.select("doc_id", "text_key", "place", F.size("lines").cast("long").alias("n_lines"))
     if not gone:
@@ -112,8 +116,6 @@ def repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
     spans = gone[0]
     for more in gone[1:]:
         spans = spans.unionByName(more)
-    mask = (1 << LINE_BITS) - 1
-
     def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -125,8 +127,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
                 out.append(np.flatnonzero(np.cumsum(step)))
             yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["place", "gone"])
 
-    by_doc = (spans.groupBy(F.col("at").bitwiseAND(~mask).alias("place"))
-              .agg(F.collect_list(F.struct(F.col("at").bitwiseAND(mask).alias("start"), "width")).alias("spans"))
+    by_doc = (spans.groupBy("place").agg(F.collect_list(F.struct((F.col("at") - F.col("place")).alias("start"), "width")).alias("spans"))
               .mapInArrow(covered, "place long, gone array<bigint>"))
     return base.join(by_doc, "place", "left").select(
         "doc_id", "text_key", "n_lines", F.coalesce("gone", F.array().cast("array<bigint>")).alias("gone"))
@@ -153,8 +154,9 @@ def remove_line_runs(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id
 
 
 def line_report(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: ``doc_id, n_lines, n_kept_words, kept_sha256`` of what
-    ``remove_line_runs`` leaves, ``n_lines`` being those left."""
+    """One row a document: ``doc_id``, the number of its lines, ``n_lines``, and of what
+    ``remove_line_runs`` leaves of it the lines, characters and hash: ``n_lines_left,
+    n_chars_left, kept_sha256``.  A null text has one line, an empty one, and stays."""
     left = remove_line_runs(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                                         F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).cast("long").alias("n_lines")), min_words)
     kept = F.coalesce("text", F.lit(""))
