@@ -75,7 +75,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 .where("print is not null").distinct())
     near = (found.select("doc_id", "text_key", F.explode("prints").alias("print"))
             .join(of_items, "print", "left_semi").select("doc_id", "text_key").distinct())
-    # Only the texts of documents with a common fingerprint are compared.
+    # Written first, so that the planner knows their size before it deals out texts; only those of documents with a common fingerprint are compared.
+    near = cut(near, "near-documents")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
     match = [texts["doc_id"].eqNullSafe(near["doc_id"]), texts["text_key"] == near["text_key"]]
     texts = texts.join(near, match, "left_semi").select("doc_id", "text_key", lowered("text").alias("words"))
@@ -91,7 +92,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     union = F.aggregate(F.sort_array("spans"), zero, lambda a, s: F.struct(
         F.greatest(a["end"], s["end"]).alias("end"),
         (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["i"], a["end"]))).alias("n")), lambda a: a["n"])
-    spans = spans.select("doc_id", "text_key", union.alias("n_hit"), "items")
+    spans = cut(spans.select("doc_id", "text_key", union.alias("n_hit"), "items"), "hits")
     left = found.select("doc_id", "text_key", "n_words")
     joined = left.join(spans, [left["doc_id"].eqNullSafe(spans["doc_id"]), left["text_key"] == spans["text_key"]], "left")
     return _verdict(joined.select(left["doc_id"], left["text_key"], "n_words", "n_hit", "items"), min_percent)
@@ -109,4 +110,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of ``docs`` that ``decontaminate`` does not find contaminated."""
     bad = decontaminate(docs, benchmark, id_col, text_col, **kw).where("contaminated").select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    bad = cut(bad, "contaminated")
     return docs.join(bad, [docs[id_col].eqNullSafe(bad["__id"]), text_key(docs[text_col]) == bad["__key"]], "left_anti")
