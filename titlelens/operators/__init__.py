@@ -1,7 +1,10 @@
 """DataFrame-level building blocks shared by the questions."""
 
+from titlelens.operators.asof import asof_join
+from titlelens.operators.band import band_join
+from titlelens.operators.ranks import global_ranks
 from titlelens.operators.topk import top_n, top_per_group
 from titlelens.operators.trend import lag_change
 from titlelens.operators.lookup import lookup_bounded
 
-__all__ = ["top_n", "top_per_group", "lag_change", "lookup_bounded"]
+__all__ = ["asof_join", "band_join", "global_ranks", "top_n", "top_per_group", "lag_change", "lookup_bounded"]

@@ -284,6 +284,39 @@ t AS (SELECT * FROM s ORDER BY movieCount DESC, director ASC NULLS FIRST LIMIT 2
 SELECT t.director, n.primaryName, t.movieCount, t.averageGap
 FROM t LEFT JOIN name_basics n ON t.director = n.nconst""",
 
+    "close_releases_by_director": """,
+dm AS (
+  SELECT row_number() OVER () AS no, startYear, director AS creator
+  FROM (SELECT b.startYear, unnest(string_split(k.directors, ',')) AS director
+        FROM title_basics b JOIN title_crew k ON b.tconst = k.tconst
+        WHERE b.titleType = 'movie' AND b.startYear IS NOT NULL AND k.directors IS NOT NULL)),
+pairs AS (
+  SELECT a.creator, count(*) AS close_pairs FROM dm a JOIN dm b ON a.creator = b.creator AND a.no < b.no
+  WHERE abs(a.startYear - b.startYear) <= 2 GROUP BY a.creator),
+t AS (
+  SELECT creator, close_pairs, (SELECT count(*) FROM dm WHERE dm.creator = pairs.creator) AS title_count
+  FROM pairs ORDER BY close_pairs DESC, creator ASC LIMIT 20)
+SELECT t.creator, n.primaryName, t.title_count, t.close_pairs
+FROM t LEFT JOIN name_basics n ON t.creator = n.nconst""",
+
+    "last_acclaimed_title": """,
+dm AS (
+  SELECT b.tconst, b.startYear, unnest(string_split(k.directors, ',')) AS creator
+  FROM title_basics b JOIN title_crew k ON b.tconst = k.tconst
+  WHERE b.titleType = 'movie' AND b.startYear IS NOT NULL AND k.directors IS NOT NULL),
+voted AS (
+  SELECT dm.creator, dm.startYear, max(dm.tconst) AS tconst
+  FROM dm JOIN title_ratings r ON dm.tconst = r.tconst WHERE r.numVotes >= 1000 GROUP BY dm.creator, dm.startYear)
+SELECT dm.creator, dm.tconst, dm.startYear, v.tconst AS prev_tconst, v.startYear AS prev_startYear, dm.startYear - v.startYear AS years_since
+FROM dm ASOF LEFT JOIN voted v ON dm.creator = v.creator AND dm.startYear > v.startYear""",
+
+    "title_rank_positions": """
+SELECT tconst, averageRating, numVotes, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank,
+       percent_rank() OVER w AS percent_rank, cume_dist() OVER w AS cume_dist,
+       CAST((rank() OVER w - 1) * 4 // count(*) OVER () + 1 AS INTEGER) AS tile
+FROM title_ratings
+WINDOW w AS (ORDER BY averageRating DESC NULLS LAST, numVotes DESC NULLS LAST)""",
+
     "votes_by_year_running_avg": """,
 y AS (
   SELECT b.startYear, avg(r.numVotes) AS avgVotes

@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 
 from titlelens.catalog import Catalog
-from titlelens.plans import facets, people, profile, ratings, series, trends
+from titlelens.plans import facets, people, profile, ratings, relations, series, trends
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,9 @@ _QUESTIONS = [
     Question("most_genre_diverse_people", people.most_diverse_people, "people"),
     Question("directors_of_high_rated", people.creators_of_high_rated, "people"),
     Question("genre_growth_by_decade", facets.facet_growth_by_decade, "facets"),
+    Question("close_releases_by_director", relations.close_releases, "relations"),
+    Question("last_acclaimed_title", relations.last_acclaimed_title, "relations"),
+    Question("title_rank_positions", relations.title_rank_positions, "relations"),
     Question("catalog_tables", profile.describe_catalog, "profile"),
     Question("catalog_profile", profile.profile_catalog, "profile"),
     Question("catalog_numeric_stats", profile.numeric_stats_catalog, "profile"),
