@@ -110,21 +110,94 @@ NOTICES = [
     ("no-warranty", "warrant", r"without warranties or conditions of any kind", 0.5),
 ]
 
+# Names that are licenses and nothing else; only their version standing alone is a license.
+# The other names of the table are also those of programs, firms or formats ("php 7 4" is none).
+ONLY_LICENSES = ("gpl", "lgpl", "agpl", "gfdl", "mpl", "epl", "cddl", "cpl", "eupl", "osl", "afl", "cc0", "cc-by", "cc-by-sa", "cc-by-nc", "cc-by-nd",
+                 "cc-by-nc-sa", "cc-by-nc-nd", "odbl", "odc-by", "ofl", "ms-pl", "ms-rl", "zpl", "upl", "busl", "sspl")
+# The short names by which these are known beside their version; the names of a few families stand for more than a license alone.
+BARE = {"apache": r"apache (?:software )?license|apache", "cecill": r"cecill(?: [abc])?"}
+
+# Label, keyword, wording, confidence. Grants, headers, exceptions and disclaimers as they are written in files of each family.
+SIGNATURES = [
+    ("apache", "apache", r"licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", 1.0),
+    ("apache", "compliance with the license", r"you may not use this file except in compliance with the license", 0.6),
+    ("apache", "unless required by applicable law", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 0.7),
+    ("apache", "asf", r"licensed to the apache software foundation asf under one or more contributor license agreements", 1.0),
+    ("mit", "copyright notice and this permission notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 0.95),
+    ("mit", "noninfringement", r"warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable", 0.8),
+    ("x11", "x consortium", r"the name of the x consortium shall not be used in advertising or otherwise to promote the sale", 0.95),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 0.95),
+    ("bsd", "redistributions", r"redistributions in binary form must reproduce the above copyright notice this list of conditions", 0.95),
+    ("bsd", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledgement", 0.9),
+    ("bsd", "regents", r"(?:the )?regents of the university of california all rights reserved", 0.8),
+    ("isc", "copyright notice and this permission notice", r"provided that the above copyright notice and this permission notice appear in all copies", 0.85),
+    ("gpl", "free software foundation", r"terms of the gnu general public license as published by the free software foundation", 1.0),
+    ("gpl", "general public license", r"you should have received a copy of the gnu general public license along with", 0.95),
+    ("gpl", "classpath|combined work", r"classpath exception|linking this library statically or dynamically with other modules is making a combined work", 0.8),
+    ("gpl", "copyleft|of the gpl", r"licensed to you under version [23] of the gpl|covered by the gpl copyleft", 0.8),
+    ("lgpl", "lesser general public license", r"you should have received a copy of the gnu lesser general public license along with", 0.95),
+    ("lgpl", "library general public license", r"you should have received a copy of the gnu library general public license along with", 0.95),
+    ("agpl", "affero", r"you should have received a copy of the gnu affero general public license along with", 0.95),
+    ("gfdl", "invariant sections", r"with no invariant sections no front cover texts and no back cover texts", 0.95),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public license", 1.0),
+    ("mpl", "incompatible with secondary", r"this source code form is incompatible with secondary licenses", 0.9),
+    ("epl", "eclipse", r"(?:this program and the )?accompanying materials are made available under the terms of the eclipse public license", 1.0),
+    ("cddl", "common development", r"the contents of this file are subject to the terms of the common development and distribution license", 1.0),
+    ("eupl", "eupl|this work except", r"licensed under the eupl|you may not use this work except in compliance with the licence", 0.8),
+    ("artistic", "artistic|perl", r"you can redistribute it and or modify it under the (?:same )?terms (?:of|as) (?:the )?(?:perl|artistic license)", 0.9),
+    ("perl", "same terms as perl", r"under the same terms as perl(?: 5)? itself", 0.95),
+    ("python", "python software foundation", r"this license agreement is between the python software foundation psf and the individual or organization", 1.0),
+    ("ruby", "ruby", r"you can redistribute it and or modify it under the same terms as ruby(?: itself)?", 0.9),
+    ("php", "php", r"this source file is subject to version [23] [0-9]+ of the php license", 1.0),
+    ("php", "php", r"this product includes php software freely available from", 0.9),
+    ("zlib", "origin of this software", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software", 0.95),
+    ("zlib", "altered source", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software", 0.95),
+    ("boost", "machine executable object code", r"solely in the form of machine executable object code generated by a source language processor", 0.95),
+    ("unlicense", "anyone is free", r"anyone is free to copy modify publish use compile sell or distribute this software", 0.9),
+    ("wtfpl", "what the fuck", r"you just do what the fuck you want to", 0.95),
+    ("cc0", "waived", r"to the extent possible under law (?:[^ ]+ ){1,12}waived all copyright and related or neighboring rights", 0.95),
+    ("openssl", "openssl toolkit", r"this product includes software developed by the openssl project for use in the openssl toolkit", 1.0),
+    ("postgresql", "university of california", r"in no event shall the university of california be liable to any party for direct indirect special incidental or consequential damages", 0.8),
+    ("beerware", "beer", r"if we meet some day and you think this stuff is worth it you can buy me a beer", 1.0),
+    ("ofl", "reserved font name", r"(?:with )?reserved font name", 0.8),
+    ("hpnd", "without fee", r"permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted", 0.9),
+    ("sspl", "service source code", r"make the service source code available via network download to everyone at no charge", 0.95),
+    ("elastic", "hosted or managed service", r"you may not provide the software to third parties as a hosted or managed service", 0.9),
+    ("commons-clause", "right to sell", r"does not (?:include and the license does not )?grant to you the right to sell the software", 0.9),
+    ("busl", "additional use grant|change date", r"additional use grant|change date (?:[^ ]+ ){1,6}change license", 0.7),
+    ("polyform", "noncommercial purpose", r"any noncommercial purpose is a permitted purpose", 0.9),
+    ("openrail", "use based restrictions", r"use based restrictions as referenced in paragraph", 0.8),
+    ("proprietary", "trade secret", r"contains (?:proprietary and )?confidential (?:information )?(?:and )?trade secrets?", 0.7),
+    ("proprietary", "written permission|written consent", r"(?:reproduction|copying|distribution|use)(?: [^ ]+){0,6} without (?:the )?(?:express )?(?:prior )?written (?:permission|consent)", 0.5),
+    ("no-warranty", "as is", r"(?:is )?provided as is without (?:any )?(?:express or implied )?warrant(?:y|ies)(?: of any kind)?", 0.5),
+]
+
+# What turns the license named right after it into none.
+_NOT = r"(?:(?:is|are|was|were|be|been|has|have)(?: been)? (?:not|never)|isn t|aren t|wasn t|weren t|not|never|no longer|neither|nor|without a|incompatible with(?: the)?|unlike(?: the)?|instead of(?: the)?|rather than(?: the)?)"
 _VERSION = r"(?: (?:version|v))?(?: v?[0-9]){0,3}(?: or (?:any )?later(?: version)?)?"
 _VERB = r"(?:licensed|licenced|released|distributed|available|provided|published|covered|governed)"
+_UNDER = rf"{_VERB}(?: [^ ]+)? (?:under|by|in accordance with)(?: the)?(?: terms(?: and conditions)? of)?(?: the| an?)?"
+_LATER = rf"(?: (?:licen[sc]e|version|v?[0-9])){{0,2}}{_VERSION}"
 
 
 def rules() -> list[Rule]:
-    """Four rules from every license (identifier line, grant sentence, name
-    with the word license, name of a family by its version) and the notices."""
+    """From every license an identifier line, a grant sentence, the name with the word
+    license, and both denied; of names that are licenses only also name and version; and
+    hand-written notices and signatures.
+
+    A denial has the highest priority but no label: it suppresses what lies inside it.
+    """
     out = []
     for label, name, ident, key in LICENSES:
         out.append(Rule(label, 4, "spdx", rf"spdx license identifier (?:{ident})", 1.0))
-        out.append(Rule(label, 3, key, rf"{_VERB}(?: [^ ]+)? (?:under|by|in accordance with)(?: the)?(?: terms(?: and conditions)? of)?(?: the| an?)?"
-                                       rf" (?:{name})(?: (?:licen[sc]e|version|v?[0-9])){{0,2}}{_VERSION}", 0.9))
+        out.append(Rule(label, 3, key, rf"{_UNDER} (?:{name}){_LATER}", 0.9))
         out.append(Rule(label, 2, key, rf"(?:{name}) (?:public )?licen[sc]e{_VERSION}", 0.8))
-        out.append(Rule(label, 1, key, rf"(?:{name}) (?:version |v)?[0-9] [0-9]", 0.6))
-    out += [Rule(label, 3, key, regex, c) for label, key, regex, c in NOTICES]
+        out.append(Rule("", 5, key, rf"{_NOT}(?: an?)?(?: {_UNDER})?(?: the)? (?:{name}){_LATER}", 0.0))
+        if label in ONLY_LICENSES:
+            out.append(Rule(label, 1, key, rf"(?:gnu )?{label.replace('-', ' ')} (?:version |v)?[0-9] [0-9]", 0.6))
+        elif label in BARE:
+            out.append(Rule(label, 1, key, rf"(?:{BARE[label]}) (?:version |v)?2 0", 0.6))
+    out += [Rule(label, 3, key, regex, c) for label, key, regex, c in [*NOTICES, *SIGNATURES]]
     return out
 
 
@@ -155,7 +228,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The keywords of all rules are looked up once a document; a rule's
     regex is tried only where its own keyword stands.  Detections are taken
     in order of start, longer and higher ones first; one that lies inside an
-    earlier one of the same or a higher priority is suppressed.
+    earlier one of the same or a higher priority is suppressed; a denial ("not licensed
+    under the GPL") suppresses the license in it and is itself no detection.
     ``labels`` are the base labels and those of the detections left;
     ``score`` is the best confidence among them (0.5 for a base phrase alone).
 
@@ -168,7 +242,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     s = F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), F.lit(" "))
     df = docs.select(F.col(id_col).alias("doc_id"), s.alias("s"))
     n_words = F.when(F.col("s") == "  ", 0).otherwise(F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) - 1)
-    present = F.filter(F.array(*map(F.lit, gate)), lambda k: F.contains("s", k))
+    # Keywords are whole words, but for an ending: "discussion" does not open the rules of "isc".
+    present = F.filter(F.array(*map(F.lit, gate)), lambda k: F.contains("s", F.concat(F.lit(" "), k)))
     base = F.when(F.contains("s", F.lit(" license ")), _spans(F.col("s"), "|".join(BASE)))
     rule_array = F.array(*(F.struct(F.lit(i).alias("no"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
                                     F.array(*map(F.lit, r.keyword.split("|"))).alias("keywords"), F.lit(r.regex).alias("regex"),
@@ -193,10 +268,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         limit = F.coalesce(*(F.when(-d["rank"] == p, a["reach"][f"p{p}"]) for p in levels))
         stays = -d["before"] > limit
         further = F.struct(*(F.when(-d["rank"] >= p, F.greatest(a["reach"][f"p{p}"], -d["before"])).otherwise(a["reach"][f"p{p}"]).alias(f"p{p}") for p in levels))
+        named = stays & (d["label"] != "")
         return F.struct(further.alias("reach"),
-                        F.when(stays, F.array_union(a["labels"], F.array(d["label"]))).otherwise(a["labels"]).alias("labels"),
-                        F.when(stays, F.greatest(a["score"], d["confidence"])).otherwise(a["score"]).alias("score"),
-                        (a["kept"] + stays.cast("int")).alias("kept"))
+                        F.when(named, F.array_union(a["labels"], F.array(d["label"]))).otherwise(a["labels"]).alias("labels"),
+                        F.when(named, F.greatest(a["score"], d["confidence"])).otherwise(a["score"]).alias("score"),
+                        (a["kept"] + named.cast("int")).alias("kept"))
 
     df = df.select("*", F.aggregate("found", start, step).alias("sum"))
     empty = F.array().cast("array<string>")
