@@ -8,24 +8,30 @@ from pyspark.sql import functions as F
 from titlelens.llm.common import cut, text_key
 
 _NAME = r"\p{Lu}[\p{L}'’-]+"
-_HE, _SHE, _ANY = r"Mr|Herr|Monsieur|M|Señor|Sr|Г-н", r"Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Srta|Sra|Г-жа", r"Dr|Prof"
+# M is a title only with a point.
+_HE, _SHE, _ANY = r"Mr|Herr|Monsieur|M(?=\.)|Señor|Sr|Г-н", r"Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Srta|Sra|Г-жа", r"Dr|Prof"
 
-# Kind, and the pattern of its entities, in the order in which they are tried.
+_SECRET = r"(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+
+# Kind, and the pattern of its entities, in the order in which they are tried. Conditions of one
+# character stand before the lookbehinds that imply them, so that few places try these; a mail begins where its characters do.
 KINDS = [
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("secret", r"(?<=(?:password|passwd|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']{0,1})[^\s\"',;=:]{6,}"),
+    ("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    ("secret", rf"(?<=[=:\s\"'])(?<=[=:]\s{{0,3}}[\"']?)(?<={_SECRET})[^\s\"',;=:]{{6,}}"),
     ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}\b"),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("phone", r"(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![\w])|(?<![\w(])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}\b|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w.-])"),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     ("card", r"(?<![\w-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?![\w-])"),
     ("ip", r"(?<![\w.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?![\w]|\.[0-9])"),
-    ("he", rf"(?<=\b(?:{_HE})\.? ){_NAME}(?: {_NAME}){{0,2}}"),
-    ("she", rf"(?<=\b(?:{_SHE})\.? ){_NAME}(?: {_NAME}){{0,2}}"),
-    ("they", rf"(?<=\b(?:{_ANY})\.? ){_NAME}(?: {_NAME}){{0,2}}"),
+    ("he", rf"(?=\p{{Lu}})(?<=\b(?:{_HE})\.? ){_NAME}(?: {_NAME}){{0,2}}"),
+    ("she", rf"(?=\p{{Lu}})(?<=\b(?:{_SHE})\.? ){_NAME}(?: {_NAME}){{0,2}}"),
+    ("they", rf"(?=\p{{Lu}})(?<=\b(?:{_ANY})\.? ){_NAME}(?: {_NAME}){{0,2}}"),
 ]
-# No entity lies in a text without one of these.
-GATE = rf"[@0-9=]|\b(?:{_HE}|{_SHE}|{_ANY})\.? \p{{Lu}}|(?:password|passwd|pwd|secret|token|key)[\"']?\s{{0,3}}:|\bsk-|\bgh[pousr]_"
+# What each kind needs somewhere in the text; no entity lies in a text without one of these.
+NEEDS = {"email": "@", "secret": _SECRET, "key": "AKIA|ASIA|gh[pousr]_|sk-", "iban": "[0-9]", "phone": "[0-9]", "ssn": "[0-9]", "card": "[0-9]", "ip": "[0-9]",
+         "he": rf"\b(?:{_HE})\.? \p{{Lu}}", "she": rf"\b(?:{_SHE})\.? \p{{Lu}}", "they": rf"\b(?:{_ANY})\.? \p{{Lu}}"}
+GATE = "|".join(dict.fromkeys(NEEDS.values()))
 ALL = "|".join(f"(?:{p})" for _, p in KINDS)
 
 # Syllables of invented names, by script.
@@ -59,7 +65,28 @@ def with_entities(df: DataFrame, text: str, found: str, gaps: str) -> DataFrame:
     titled = lambda titles, i: F.get(gaps + "_ends", i).rlike(rf"\b(?:{titles})\.? $")
     kind = lambda x, i: F.coalesce(
         F.when(titled(_HE, i), "he").when(titled(_SHE, i), "she").when(titled(_ANY, i), "they"), kind_of(x), F.lit("secret"))
-    return df.withColumn(found, F.transform(found, lambda x, i: F.struct(kind(x, i).alias("kind"), x.alias("entity")))).drop(gaps + "_ends")
+    df = df.withColumn(found, F.transform(found, lambda x, i: F.struct(kind(x, i).alias("kind"), x.alias("entity")))).drop(gaps + "_ends")
+    return with_repeats(df, found, gaps)
+
+
+def with_repeats(df: DataFrame, found: str, gaps: str) -> DataFrame:
+    """Names of two or more words that stand behind a title somewhere in the text
+    are entities wherever else they stand in it, of the kind of the first such place."""
+    names, pattern, kinds = found + "_names", found + "_pattern", found + "_kinds"
+    person = lambda x: x["kind"].isin("he", "she", "they") & F.contains(x["entity"], F.lit(" "))
+    df = df.withColumn(names, F.filter(found, person))
+    # Longer names first: of names that begin alike the longest counts.
+    longest = F.array_sort(F.array_distinct(F.transform(names, lambda x: x["entity"])), lambda a, b: F.char_length(b) - F.char_length(a))
+    quoted = F.transform(longest, lambda x: F.concat(F.lit(r"\Q"), x, F.lit(r"\E")))
+    first = F.array_distinct(F.transform(names, lambda x: x["entity"]))
+    df = df.withColumns({
+        pattern: F.when(F.size(names) > 0, F.concat(F.lit(r"(?<![\p{L}'’-])("), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}'’-])"))),
+        kinds: F.map_from_arrays(first, F.transform(first, lambda e: F.get(F.filter(names, lambda x: x["entity"] == e), F.lit(0))["kind"]))})
+    bare = lambda g: F.transform(F.regexp_extract_all(g, F.col(pattern), F.lit(1)), lambda e: F.struct(F.col(kinds)[e].alias("kind"), e.alias("entity")))
+    more = F.flatten(F.transform(gaps, lambda g, i: F.when(i < F.size(found), F.concat(bare(g), F.slice(found, i + 1, 1))).otherwise(bare(g))))
+    apart = F.flatten(F.transform(gaps, lambda g: F.split(g, F.col(pattern), -1)))
+    return df.withColumns({found: F.when(F.col(pattern).isNull(), F.col(found)).otherwise(more),
+                           gaps: F.when(F.col(pattern).isNull(), F.col(gaps)).otherwise(apart)}).drop(names, pattern, kinds)
 
 
 def _digest(key: str, *parts: Column) -> Column:
@@ -87,12 +114,12 @@ def _letters(text: Column, digest: Column, hexadecimal: Column) -> Column:
 
 def _name(key: str, kind: Column, name: Column, attempt: Column) -> Column:
     """Word by word: the last is a family name, the same whoever bears it, those
-    before are given names with the ending of their gender, all in the script of the word."""
+    before are given names with one stem for all genders and the ending of theirs, all in the script of the word."""
     words = F.split(name, " ")
 
     def one(word: Column, i: Column) -> Column:
         given = i < F.size(words) - 1
-        digest = _digest(key, F.when(given, F.concat(F.lit("given-"), kind)).otherwise("family"), word, attempt.cast("string"))
+        digest = _digest(key, F.when(given, "given").otherwise("family"), word, attempt.cast("string"))
 
         def spelled(script: str) -> Column:
             s, (him, her) = SYLLABLES[script], ENDINGS[script]
@@ -107,9 +134,28 @@ def _name(key: str, kind: Column, name: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(words, one), " ")
 
 
+def _card(card: Column) -> Column:
+    """The number with the last digit that makes its check sum (every second digit from the right doubled) a multiple of ten."""
+    body = F.substr(card, F.lit(1), F.char_length(card) - 1)
+    digits = F.reverse(F.split(F.regexp_replace(body, "[^0-9]", ""), ""))
+    worth = F.transform(digits, lambda d, i: F.when(i % 2 == 1, d.cast("int")).otherwise(d.cast("int") * 2 - F.when(d.cast("int") > 4, 9).otherwise(0)))
+    total = F.aggregate(worth, F.lit(0), lambda a, x: a + x)
+    return F.concat(body, ((F.lit(10) - total % 10) % 10).cast("string"))
+
+
+def _iban(iban: Column) -> Column:
+    """The number with the two check digits that make the account, country and digits leave 1 over 97 (letters count from 10)."""
+    lead, account = F.substr(iban, F.lit(1), F.lit(2)), F.substr(iban, F.lit(5))
+    signs = F.split(F.regexp_replace(F.concat(account, lead), "[^0-9A-Z]", ""), "")
+    step = lambda a, c: F.when(c.between("0", "9"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
+    left = F.aggregate(signs, F.lit(0), step) * 100 % 97
+    return F.concat(lead, F.lpad((F.lit(98) - left).cast("string"), 2, "0"), account)
+
+
 def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
     """A value of the same kind and format: the mail's domain keeps its last label and is the same for the same
-    domain, a phone its country code, a card its first digit, an address four numbers in range."""
+    domain, a phone its country code, a card its first digit, an account its country, both with valid check digits,
+    an address four numbers in range. Names keep script, case, number of words and the gender of their title."""
     digest = _digest(key, kind, entity, attempt.cast("string"))
     no = F.lit(False)
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
@@ -120,6 +166,7 @@ def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column
     rest = F.substr(entity, F.char_length(fixed) + 1)
     ip = F.concat_ws(".", *((_number(digest, k, 254) + 1).cast("string") for k in range(4)))
     return (F.when(kind == "email", mail).when(kind == "ip", ip).when(kind.isin("he", "she", "they"), _name(key, kind, entity, attempt))
+            .when(kind == "card", _card(F.concat(fixed, _letters(rest, digest, no)))).when(kind == "iban", _iban(F.concat(fixed, _letters(rest, digest, no))))
             .otherwise(F.concat(fixed, _letters(rest, digest, (kind == "secret") & entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))))
 
 
@@ -129,10 +176,16 @@ def _family(kind: Column) -> Column:
 
 
 def resolve(found: DataFrame, key: str) -> DataFrame:
-    """``kind, entity, attempt`` of the entities whose first surrogate is taken:
-    by an entity of the corpus, or by the surrogate of a smaller entity.  They try again, with another
-    digest, until each has a surrogate of its own."""
-    everything = cut(found.select("kind", "entity").distinct(), "entities")
+    """``kind, entity, as_kind, attempt`` of the entities that do not get the first surrogate of their kind.
+
+    A name behind a title that tells no gender is that of the one gender with which it occurs elsewhere, if there is just one: the
+    same person, so ``as_kind`` differs. The others' first surrogate is taken, by an entity of the corpus or by the
+    surrogate of a smaller entity; they try again, with another digest, until each has one of its own."""
+    distinct = cut(found.select("kind", "entity").distinct(), "entities-by-kind")
+    genders = distinct.where(F.col("kind").isin("he", "she")).groupBy(F.col("entity").alias("__e")).agg(F.min("kind").alias("__least"), F.max("kind").alias("__most"))
+    told = distinct.where("kind = 'they'").join(genders.where("__least = __most"), F.col("entity") == F.col("__e")).select("kind", "entity", F.col("__least").alias("as_kind"))
+    told = cut(told, "told")
+    everything = cut(distinct.join(told, ["kind", "entity"], "left_anti"), "entities")
     real = everything.select(_family(F.col("kind")).alias("family"), F.col("entity").alias("own")).distinct()
     settled, waiting, attempt = None, everything, 0
     moved = []
@@ -157,7 +210,8 @@ def resolve(found: DataFrame, key: str) -> DataFrame:
     out = everything.select("kind", "entity", F.lit(0).alias("attempt")).limit(0) if not moved else moved[0]
     for more in moved[1:]:
         out = out.unionByName(more)
-    return out
+    same = told.join(out.select(F.col("kind").alias("as_kind"), "entity", "attempt"), ["as_kind", "entity"], "left")
+    return out.withColumn("as_kind", F.col("kind")).unionByName(same.withColumn("attempt", F.coalesce("attempt", F.lit(0))))
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,27 +223,34 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     whole corpus, and those whose surrogates collide, with each other or with an
     entity that occurs, get another. Only those are joined back to their documents.
 
+    Found are mails, keys, accounts, phones, social security and card numbers, addresses, secrets behind one of the words of
+    ``_SECRET`` in any case, and names behind one of the titles above, in Latin, Cyrillic or Greek letters; names of
+    two or more words also where they stand without title in the same text.
+
     A null text stays null and has no entities; text between entities is not changed;
     repeated rows are changed alike; an empty table stays empty.
     """
     text = F.col(text_col)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "n_entities")).alias("__row")
     rows = docs.select(row, F.col(id_col).alias("__id"), text_key(text).alias("__key"), F.when(F.rlike(text, F.lit(GATE)), text).alias("__text"))
-    found = with_entities(rows.where("__text is not null").select("__id", "__key", "__text"), "__text", "__found", "__gaps")
-    # explode() would add a filter that the optimizer moves below, copying the texts' split into the lambda.
-    found = found.select("__id", "__key", F.explode_outer("__found").alias("x")).where("x is not null").select("__id", "__key", "x.*")
-    found = cut(found, "entities-of-documents")
+    rows = with_entities(rows, "__text", "__found", "__gaps")
+    some = F.coalesce(F.size("__found") > 0, F.lit(False))
+    # The gaps and entities are the text. Each text is searched once and written once.
+    rows = rows.select(F.when(some, F.col("__row").withField(text_col, F.lit(None).cast("string"))).otherwise(F.col("__row")).alias("__row"),
+                       "__id", "__key", some.alias("__some"), F.when(some, F.col("__found")).alias("__found"), F.when(some, F.col("__gaps")).alias("__gaps"))
+    rows = cut(rows, "documents-in-pieces")
+    found = rows.where("__some").select("__id", "__key", F.explode("__found").alias("x")).select("__id", "__key", "x.*")
     again = resolve(found, key)
     retried = found.join(again, ["kind", "entity"]).groupBy(F.col("__id").alias("__i"), F.col("__key").alias("__k")).agg(
-        F.map_from_entries(F.collect_set(F.struct(F.concat_ws(":", "kind", "entity"), "attempt"))).alias("__again"))
-    joined = rows.join(retried, [rows["__id"].eqNullSafe(retried["__i"]), rows["__key"] == retried["__k"]], "left")
-    joined = with_entities(joined.select("__row", "__text", "__again"), "__text", "__found", "__gaps")
+        F.map_from_entries(F.collect_set(F.struct(F.concat_ws(":", "kind", "entity"), F.struct("as_kind", "attempt")))).alias("__again"))
+    retried = cut(retried, "entities-tried-again")
+    joined = rows.where("__some").join(retried, [rows["__id"].eqNullSafe(retried["__i"]), rows["__key"] == retried["__k"]], "left")
 
     def put(x: Column, i: Column) -> Column:
-        attempt = F.coalesce(F.col("__again")[F.concat_ws(":", x["kind"], x["entity"])], F.lit(0))
-        return F.concat(surrogate(key, x["kind"], x["entity"], attempt), F.get("__gaps", i + 1))
+        other = F.col("__again")[F.concat_ws(":", x["kind"], x["entity"])]
+        return F.concat(surrogate(key, F.coalesce(other["as_kind"], x["kind"]), x["entity"], F.coalesce(other["attempt"], F.lit(0))), F.get("__gaps", i + 1))
 
-    changed = F.when(F.size("__found") > 0, F.concat(F.get("__gaps", F.lit(0)), F.array_join(F.transform("__found", put), "")))
-    n = F.when(F.col("__found").isNull(), 0).otherwise(F.size("__found")).cast("long")
-    return joined.select(F.col("__row").withField(text_col, F.coalesce(changed, F.col(f"__row.{text_col}"))).alias("__row"),
-                         n.alias("n_entities")).select("__row.*", "n_entities")
+    changed = F.concat(F.get("__gaps", F.lit(0)), F.array_join(F.transform("__found", put), ""))
+    changed = joined.select(F.col("__row").withField(text_col, changed).alias("__row"), F.size("__found").cast("long").alias("n_entities"))
+    clean = rows.where("not __some").select("__row", F.lit(0).cast("long").alias("n_entities"))
+    return clean.unionByName(changed).select("__row.*", "n_entities")
