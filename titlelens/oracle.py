@@ -317,6 +317,58 @@ SELECT tconst, averageRating, numVotes, rank() OVER w AS rank, dense_rank() OVER
 FROM title_ratings
 WINDOW w AS (ORDER BY averageRating DESC NULLS LAST, numVotes DESC NULLS LAST)""",
 
+    "title_subtotals": """,
+t AS (
+  SELECT b.titleType, CAST(trunc(b.startYear / 10) * 10 AS INTEGER) AS decade, b.genres, r.numVotes, r.tconst AS rated
+  FROM title_basics b LEFT JOIN title_ratings r ON b.tconst = r.tconst),
+g AS (
+  SELECT titleType, decade, numVotes, rated, unnest(list_distinct(string_split(genres, ','))) AS genre FROM t WHERE genres IS NOT NULL
+  UNION ALL SELECT titleType, decade, numVotes, rated, NULL AS genre FROM t WHERE genres IS NULL)
+SELECT titleType, decade, genre, CAST(grouping(titleType, decade, genre) AS INTEGER) AS grouping_id,
+       count(*) AS title_count, count(rated) AS rated_count, CAST(coalesce(sum(numVotes), 0) AS BIGINT) AS total_votes
+FROM g GROUP BY GROUPING SETS ((titleType, decade, genre), (titleType, genre), (decade, genre), (genre))
+UNION ALL
+SELECT titleType, decade, NULL AS genre, CAST(grouping(titleType, decade) * 2 + 1 AS INTEGER) AS grouping_id,
+       count(*) AS title_count, count(rated) AS rated_count, CAST(coalesce(sum(numVotes), 0) AS BIGINT) AS total_votes
+FROM t GROUP BY GROUPING SETS ((titleType, decade), (titleType), (decade), ())""",
+
+    "genre_decade_matrix": """,
+x AS (
+  SELECT CAST(trunc(startYear / 10) * 10 AS INTEGER) AS decade, unnest(string_split(genres, ',')) AS genre
+  FROM title_basics WHERE titleType = 'movie' AND genres IS NOT NULL)
+SELECT genre, """ + ", ".join(f"count(*) FILTER (WHERE decade = {d}) AS movies_{d}" for d in range(1950, 2030, 10)) + """,
+       count(*) FILTER (WHERE decade < 1950 OR decade > 2020) AS movies_other, count(*) FILTER (WHERE decade IS NULL) AS movies_missing
+FROM x GROUP BY genre""",
+
+    "genre_trailing_votes": """,
+x AS (
+  SELECT b.startYear, r.numVotes, unnest(string_split(b.genres, ',')) AS genre
+  FROM title_basics b JOIN title_ratings r ON b.tconst = r.tconst
+  WHERE b.titleType = 'movie' AND b.genres IS NOT NULL AND b.startYear IS NOT NULL),
+y AS (SELECT genre, startYear, count(*) AS title_count, CAST(sum(numVotes) AS BIGINT) AS votes FROM x GROUP BY genre, startYear)
+SELECT y.genre, y.startYear, y.title_count, y.votes, count(DISTINCT x.startYear) AS trailing_years, count(*) AS trailing_titles,
+       CAST(sum(x.numVotes) AS BIGINT) AS trailing_votes, CAST(sum(x.numVotes) AS BIGINT) / count(*) AS trailing_avg_votes
+FROM y JOIN x ON x.genre = y.genre AND x.startYear BETWEEN y.startYear - 4 AND y.startYear
+GROUP BY y.genre, y.startYear, y.title_count, y.votes""",
+
+    "director_source_differences": """,
+o AS (SELECT tconst, unnest(string_split(directors, ',')) AS nconst FROM title_crew WHERE directors IS NOT NULL),
+n AS (SELECT tconst, nconst FROM title_principals WHERE category = 'director'),
+k AS (SELECT tconst FROM o UNION SELECT tconst FROM n),
+c AS (SELECT tconst, count(*) AS common_rows FROM (SELECT * FROM o INTERSECT ALL SELECT * FROM n) GROUP BY tconst),
+a AS (SELECT tconst, count(*) AS only_old FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n) GROUP BY tconst),
+b AS (SELECT tconst, count(*) AS only_new FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o) GROUP BY tconst),
+alone AS (SELECT tconst FROM (SELECT * FROM o EXCEPT SELECT * FROM n) UNION SELECT tconst FROM (SELECT * FROM n EXCEPT SELECT * FROM o)),
+f AS (
+  SELECT k.tconst, (SELECT count(*) FROM o WHERE o.tconst = k.tconst) AS old_rows, (SELECT count(*) FROM n WHERE n.tconst = k.tconst) AS new_rows,
+         coalesce(c.common_rows, 0) AS common_rows, coalesce(a.only_old, 0) AS only_old, coalesce(b.only_new, 0) AS only_new,
+         k.tconst IN (SELECT tconst FROM alone) AS differs
+  FROM k LEFT JOIN c USING (tconst) LEFT JOIN a USING (tconst) LEFT JOIN b USING (tconst))
+SELECT tconst, old_rows, new_rows, common_rows, only_old, only_new,
+       CASE WHEN old_rows = 0 THEN 'added' WHEN new_rows = 0 THEN 'removed' WHEN differs THEN 'changed'
+            WHEN only_old + only_new > 0 THEN 'recounted' ELSE 'same' END AS status
+FROM f""",
+
     "votes_by_year_running_avg": """,
 y AS (
   SELECT b.startYear, avg(r.numVotes) AS avgVotes

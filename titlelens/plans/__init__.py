@@ -13,4 +13,5 @@ from titlelens.plans.ratings import (rating_by_decade, rating_by_facet, top_rate
                                      top_titles_per_region, votes_by_year_with_running_avg)
 from titlelens.plans.relations import close_releases, last_acclaimed_title, title_rank_positions
 from titlelens.plans.series import avg_children_per_season, duplicate_titles, series_by_episode_count
+from titlelens.plans.summaries import director_source_differences, genre_decade_matrix, genre_trailing_votes, title_subtotals
 from titlelens.plans.trends import adult_split_by_year, metric_trend_by_decade

@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 
 from titlelens.catalog import Catalog
-from titlelens.plans import facets, people, profile, ratings, relations, series, trends
+from titlelens.plans import facets, people, profile, ratings, relations, series, summaries, trends
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,10 @@ _QUESTIONS = [
     Question("close_releases_by_director", relations.close_releases, "relations"),
     Question("last_acclaimed_title", relations.last_acclaimed_title, "relations"),
     Question("title_rank_positions", relations.title_rank_positions, "relations"),
+    Question("title_subtotals", summaries.title_subtotals, "summaries"),
+    Question("genre_decade_matrix", summaries.genre_decade_matrix, "summaries"),
+    Question("genre_trailing_votes", summaries.genre_trailing_votes, "summaries"),
+    Question("director_source_differences", summaries.director_source_differences, "summaries"),
     Question("catalog_tables", profile.describe_catalog, "profile"),
     Question("catalog_profile", profile.profile_catalog, "profile"),
     Question("catalog_numeric_stats", profile.numeric_stats_catalog, "profile"),
