@@ -23,6 +23,14 @@ def first_listed(c, sep: str = SEP) -> Column:
     return F.substring_index(_col(c), sep, 1)
 
 
+def json_list(c) -> Column:
+    """The members of a JSON list of texts, ``'["a","b"]'`` -> ``['a', 'b']``; other
+    members become text, JSON null a null. Null for null and for all that is no JSON list: torn
+    or trailing text, objects, bare values, an empty text."""
+    text = F.btrim(_col(c), F.lit(" \t\r\n"))
+    return F.when(text.startswith("[") & text.endswith("]"), F.from_json(text, "array<string>"))
+
+
 def explode_list(df: DataFrame, column: str, alias: str, sep: str = SEP, keep=None) -> DataFrame:
     """One row per list element (inner explode: null lists produce no rows).
 

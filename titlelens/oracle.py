@@ -63,7 +63,12 @@ title_principals AS (
          concat('nm', l_partkey) AS nconst,
          CASE WHEN l_suppkey % 13 = 0 THEN NULL
               ELSE split_part('{CATEGORIES}', ',', CAST(l_suppkey % 5 + 1 AS INTEGER)) END AS category,
-         CAST(NULL AS VARCHAR) AS job, CAST(NULL AS VARCHAR) AS characters
+         CAST(NULL AS VARCHAR) AS job,
+         CASE WHEN l_partkey % 5 = 0 THEN NULL
+              WHEN l_orderkey % 43 = 0 THEN concat('["Role ', l_orderkey % 300, '"')
+              WHEN l_orderkey % 29 = 0 THEN '[]'
+              WHEN l_orderkey % 3 = 0 THEN concat('["Role ', l_orderkey % 300, '","Self"]')
+              ELSE concat('["Role ', l_orderkey % 300, '"]') END AS characters
   FROM lineitem
 ),
 title_akas AS (
@@ -351,6 +356,30 @@ SELECT y.genre, y.startYear, y.title_count, y.votes, count(DISTINCT x.startYear)
 FROM y JOIN x ON x.genre = y.genre AND x.startYear BETWEEN y.startYear - 4 AND y.startYear
 GROUP BY y.genre, y.startYear, y.title_count, y.votes""",
 
+    "genre_vote_quantiles": """,
+x AS (
+  SELECT unnest(string_split(b.genres, ',')) AS genre, b.startYear, r.numVotes
+  FROM title_basics b JOIN title_ratings r ON b.tconst = r.tconst WHERE b.titleType = 'movie' AND b.genres IS NOT NULL),
+g AS (SELECT genre, count(numVotes) AS title_count, count(DISTINCT startYear) + CAST(bool_or(startYear IS NULL) AS BIGINT) AS sketches FROM x GROUP BY genre)
+SELECT genre, unnest([CAST(0.1 AS DOUBLE), 0.25, 0.5, 0.75, 0.9, 0.99]) AS probability, title_count, sketches, true AS within_bound FROM g""",
+
+    "character_list_quality": """,
+c AS (SELECT category, nconst, characters,
+             CASE WHEN json_valid(characters) AND json_type(characters) = 'ARRAY' THEN json_extract_string(characters, '$[*]') END AS names FROM title_principals),
+d AS (SELECT category, count(DISTINCT name) AS distinct_characters FROM (SELECT category, unnest(names) AS name FROM c) u GROUP BY category)
+SELECT c.category, count(*) AS credit_count, count(*) FILTER (WHERE characters IS NULL) AS missing,
+       count(*) FILTER (WHERE characters IS NOT NULL AND names IS NULL) AS malformed, count(*) FILTER (WHERE len(names) = 0) AS empty,
+       count(*) FILTER (WHERE len(names) > 0) AS listed, coalesce(any_value(d.distinct_characters), 0) AS distinct_characters
+FROM c LEFT JOIN d ON d.category IS NOT DISTINCT FROM c.category GROUP BY c.category""",
+
+    "people_by_characters": """,
+c AS (SELECT nconst, characters,
+             CASE WHEN json_valid(characters) AND json_type(characters) = 'ARRAY' THEN json_extract_string(characters, '$[*]') END AS names FROM title_principals),
+p AS (SELECT nconst, count(DISTINCT name) AS character_count, count(*) AS part_count
+      FROM (SELECT nconst, unnest(names) AS name FROM c) u WHERE name <> '' GROUP BY nconst)
+SELECT p.nconst, n.primaryName, p.character_count, p.part_count FROM (SELECT * FROM p ORDER BY character_count DESC, part_count DESC, nconst LIMIT 20) p
+LEFT JOIN name_basics n ON n.nconst = p.nconst""",
+
     "director_source_differences": """,
 o AS (SELECT tconst, unnest(string_split(directors, ',')) AS nconst FROM title_crew WHERE directors IS NOT NULL),
 n AS (SELECT tconst, nconst FROM title_principals WHERE category = 'director'),

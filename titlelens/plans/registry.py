@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 
 from titlelens.catalog import Catalog
-from titlelens.plans import facets, people, profile, ratings, relations, series, summaries, trends
+from titlelens.plans import characters, facets, people, profile, ratings, relations, series, summaries, trends
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,9 @@ _QUESTIONS = [
     Question("title_subtotals", summaries.title_subtotals, "summaries"),
     Question("genre_decade_matrix", summaries.genre_decade_matrix, "summaries"),
     Question("genre_trailing_votes", summaries.genre_trailing_votes, "summaries"),
+    Question("genre_vote_quantiles", summaries.genre_vote_quantiles, "summaries"),
+    Question("character_list_quality", characters.character_list_quality, "characters"),
+    Question("people_by_characters", characters.people_by_characters, "characters"),
     Question("director_source_differences", summaries.director_source_differences, "summaries"),
     Question("catalog_tables", profile.describe_catalog, "profile"),
     Question("catalog_profile", profile.profile_catalog, "profile"),

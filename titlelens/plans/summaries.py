@@ -1,5 +1,5 @@
 """Questions answered at several levels or against another source: subtotals of
-titles and votes, a genre by decade matrix, trailing votes per genre, and the
+titles and votes, a genre by decade matrix, trailing votes and vote quantiles per genre, and the
 directors that two tables name for a title."""
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from titlelens.catalog import Catalog
 from titlelens.functions import decade_of, explode_list, split_list
-from titlelens.operators import compare_by_key, subtotals, to_wide, trailing_sums
+from titlelens.operators import (compare_by_key, merge_sketches, quantile_sketches, rank_error, sketch_quantiles, subtotals, to_wide,
+                                 trailing_sums)
 from titlelens.plans.common import MOVIE, count_rows, is_type
 
 LEVELS = (("titleType", "decade", "genre"), ("titleType", "genre"), ("decade", "genre"), ("genre",),
@@ -49,6 +50,37 @@ def genre_trailing_votes(cat: Catalog, years: int = 5, title_type: str = MOVIE)
                         (F.col("trailing_votes") / F.col("trailing_title_count")).alias("trailing_avg_votes"))
 
 
+def _genre_votes(cat: Catalog, title_type: str) -> DataFrame:
+    titles = cat.title_basics.where(is_type(title_type) & F.col("genres").isNotNull()).select("tconst", "startYear", "genres")
+    return explode_list(titles.join(cat.title_ratings.select("tconst", "numVotes"), "tconst"), "genres", "genre", keep=["startYear", "numVotes"])
+
+
+def genre_vote_sketches(cat: Catalog, k: int = 1000, title_type: str = MOVIE) -> DataFrame:
+    """The state to store, ``partitionBy("startYear")``: per genre and year the number of rated titles and
+    a sketch of their votes. A new year is a new folder; old ones are not read again."""
+    return quantile_sketches(_genre_votes(cat, title_type), ["genre", "startYear"], "numVotes", k)
+
+
+def genre_vote_quantiles(cat: Catalog, probabilities=(0.1, 0.25, 0.5, 0.75, 0.9, 0.99), k: int = 1000, title_type: str = MOVIE,
+                         stored: DataFrame | None = None) -> DataFrame:
+    """Per genre and probability, from the yearly sketches merged (``stored``, or those of ``genre_vote_sketches``):
+    whether the exact rank of the sketch's value keeps twice the stated error, which a sound sketch misses once in millions.
+    The value itself is left out, as sketches draw at random; ``sketch_quantiles`` gives it."""
+    sketches = genre_vote_sketches(cat, k, title_type) if stored is None else stored
+    found = sketch_quantiles(merge_sketches(sketches, ["genre"]), probabilities).withColumnRenamed("n", "title_count")
+    votes = _genre_votes(cat, title_type).where(F.col("numVotes").isNotNull()).groupBy("genre", "numVotes").agg(count_rows("n"))
+    value = lambda i: F.get("estimates", F.lit(i))
+    ranks = [F.sum(F.when(c, F.col("n")).otherwise(0)) for i in range(len(probabilities))
+             for c in (F.col("numVotes") < value(i), F.col("numVotes") <= value(i))]
+    at = F.array(*(F.struct(F.lit(float(p)).alias("probability"), below.alias("below"), upto.alias("upto"))
+                   for p, below, upto in zip(probabilities, ranks[::2], ranks[1::2])))
+    per = votes.join(found, "genre").groupBy("genre", "title_count", "sketches").agg(at.alias("at"))
+    share = lambda c: F.col(f"at.{c}") / F.col("title_count")
+    within = (share("below") <= F.col("at.probability") + 2 * rank_error(k)) & (share("upto") >= F.col("at.probability") - 2 * rank_error(k))
+    return per.select("genre", "title_count", "sketches", F.explode("at").alias("at")).select(
+        "genre", "at.probability", "title_count", "sketches", within.alias("within_bound"))
+
+
 def director_source_differences(cat: Catalog, category: str = "director") -> DataFrame:
     """For every title with a director in the crew table (old) or the credits (new): how many
     each names, how many they have in common, and whether they agree. Credits may repeat a person; copies count."""

@@ -103,12 +103,16 @@ def title_episode(orders: DataFrame) -> DataFrame:
 
 
 def title_principals(lineitem: DataFrame) -> DataFrame:
-    s = F.col("l_suppkey")
+    s, k, p = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_partkey")
+    role = F.concat(F.lit('["Role '), (k % 300).cast("string"), F.lit('"'))
+    characters = (F.when(p % 5 == 0, None).when(k % 43 == 0, role).when(k % 29 == 0, "[]")
+                  .when(k % 3 == 0, F.concat(role, F.lit(',"Self"]'))).otherwise(F.concat(role, F.lit("]"))))
     return _conform(lineitem.select(
         _id("tt", F.col("l_orderkey")).alias("tconst"),
         F.col("l_linenumber").alias("ordering"),
         _id("nm", F.col("l_partkey")).alias("nconst"),
         F.when(s % 13 == 0, None).otherwise(pick(CATEGORIES, s % 5)).alias("category"),
+        characters.alias("characters"),
     ), "title.principals")
 
 
