@@ -71,6 +71,7 @@ def test_all_links_of_a_group(spark, monkeypatch, block):
     got = nj.similarity_groups(df).collect()
     assert {r.doc_id: r.n_links for r in got} == want
     assert max(want.values()) > 5
+    assert {r.doc_id: r.class_least for r in got} == {i: min((j for j in sets if sets[j] == sets[i]), default=None) if sets[i] else None for i in sets}
     cls = {r.doc_id: r.class_id for r in got}
     pairs = {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i in sets for j in sets if cls[i] != cls[j] and link(sets[i], sets[j])}
     found = [tuple(r) for r in nj.class_links(df).collect()]

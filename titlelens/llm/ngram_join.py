@@ -240,13 +240,14 @@ def class_links(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "d
 
 def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
                       text_col: str = "text", listed: bool = False) -> DataFrame:
-    """One row a document: ``doc_id, n_shingles, component_id, class_id, n_links, text_key``;
+    """One row a document: ``doc_id, n_shingles, component_id, class_id, class_least, n_links, text_key``;
     with ``listed`` the linked classes instead (``class_links``).
 
     Words are lower-cased (A-Z); a document's set holds its distinct ``n``-word shingles, or
     its whole sequence if it is shorter.  Documents link when the Jaccard similarity of their sets is
     ``percent`` or more; ``component_id`` is the smallest id that links reach, ``n_links``
-    the number of other rows that the document links with, equal sets included.
+    the number of other rows that the document links with, equal sets included. Documents of
+    equal sets are a class; ``class_least`` is its smallest id.
 
     1. One pass makes sets, and counts shingles in a table of fixed size: the
        global order is (bucket count, shingle).  Equal sets form a class, and
@@ -438,14 +439,15 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     least = groups.groupBy("component").agg(F.min("least").alias("group_least"))
     of_class = classes.select("digest", "least", "members").join(
         groups.join(least, "component").select("digest", "group_least"), "digest", "left").join(n_links, "digest", "left")
-    of_class = of_class.select("digest", F.coalesce("group_least", "least").alias("component_id"),
+    of_class = of_class.select("digest", F.coalesce("group_least", "least").alias("component_id"), F.col("least").alias("class_least"),
                                (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "members")
     # A third of all rows may be copies of one text.
     of_class = cut(of_class, "classes-with-links")
     rows, of_class = salted(each.where("n > 0"), of_class, ["digest"], F.col("members") > HOT_CLASS, "hot-classes")
-    out = rows.join(of_class, ["digest", "__salt"]).select("doc_id", "n", "component_id", "cls", "n_links", "text_key")
-    alone = each.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("cls"), F.lit(0).cast("long").alias("n_links"), "text_key")
-    return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "n_links", "text_key")
+    out = rows.join(of_class, ["digest", "__salt"]).select("doc_id", "n", "component_id", "cls", "class_least", "n_links", "text_key")
+    alone = each.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("cls"),
+                                         F.lit(None).cast("long").alias("class_least"), F.lit(0).cast("long").alias("n_links"), "text_key")
+    return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "class_least", "n_links", "text_key")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:

@@ -56,6 +56,55 @@ SELECT split.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_remo
 FROM split LEFT JOIN removed ON split.doc_id = removed.doc_id LEFT JOIN kept ON split.doc_id = kept.doc_id"""
 
 
+def similar(n: int = 3, percent: int = 90) -> str:
+    """All pairs of classes by their common shingles, then all classes that links reach."""
+    following = ", ".join(f"lead(x, {k}) OVER place" for k in range(1, n))
+    return f"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{SPACE_WORD}') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM split),
+runs AS (SELECT doc_id, k, concat_ws(' ', x, {following}) AS x, lead(x, {n - 1}) OVER place IS NOT NULL AS whole FROM words WINDOW place AS (PARTITION BY doc_id ORDER BY k)),
+sets AS (SELECT doc_id, list_sort(list(DISTINCT x)) AS s FROM runs WHERE whole OR k = 1 GROUP BY doc_id),
+classes AS (SELECT min(doc_id) AS class_id, s, len(s) AS size, count(*) AS members FROM sets GROUP BY s),
+shingles AS (SELECT class_id, size, unnest(s) AS x FROM classes),
+pairs AS (
+  SELECT a.class_id AS a, b.class_id AS b FROM shingles AS a JOIN shingles AS b
+  ON a.x = b.x AND a.class_id < b.class_id AND 100 * least(a.size, b.size) >= {percent} * greatest(a.size, b.size)
+  GROUP BY a.class_id, b.class_id, a.size, b.size HAVING 100 * count(*) >= {percent} * (a.size + b.size - count(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reached AS (
+  SELECT class_id, class_id AS other FROM classes
+  UNION
+  SELECT reached.class_id, links.b FROM reached JOIN links ON other = links.a),
+groups AS (SELECT class_id, min(other) AS component_id FROM reached GROUP BY class_id),
+partners AS (SELECT a, sum(members) AS n FROM links JOIN classes ON b = class_id GROUP BY a)
+SELECT split.doc_id, coalesce(len(sets.s), 0)::BIGINT AS n_shingles, coalesce(component_id, split.doc_id) AS component_id, class_id,
+       (coalesce(members - 1, 0) + coalesce(n, 0))::BIGINT AS n_links
+FROM split LEFT JOIN sets ON split.doc_id = sets.doc_id LEFT JOIN classes ON sets.s = classes.s LEFT JOIN groups USING (class_id) LEFT JOIN partners ON a = class_id"""
+
+
+def line_runs(min_words: int = 10) -> str:
+    """Repeated runs, one line longer at each step, until none repeats."""
+    return f"""
+WITH RECURSIVE split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+numbered AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM split),
+lines AS (
+  SELECT doc_id, k, x, row_number() OVER (ORDER BY doc_id, k) AS place, len(regexp_extract_all(x, '{SPACE_WORD}')) AS words FROM numbered),
+runs AS (
+  SELECT 1 AS width, doc_id, k, place, words, sha256(x) AS run, min(place) OVER (PARTITION BY x) AS first_place
+  FROM lines QUALIFY count(*) OVER (PARTITION BY x) > 1
+  UNION ALL
+  SELECT width + 1, doc_id, k, place, words, run, min(place) OVER (PARTITION BY run)
+  FROM (SELECT r.width, r.doc_id, r.k, r.place, r.words + l.words AS words, sha256(r.run || sha256(l.x)) AS run
+        FROM runs AS r JOIN lines AS l ON l.doc_id = r.doc_id AND l.k = r.k + r.width) AS longer
+  QUALIFY count(*) OVER (PARTITION BY run) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + width)) AS k FROM runs WHERE first_place < place AND words >= {min_words}),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, chr(10) ORDER BY k) AS s FROM lines ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT split.doc_id, len(l)::BIGINT AS n_lines, coalesce(n, 1)::BIGINT AS n_lines_left, length(coalesce(s, ''))::BIGINT AS n_chars_left,
+       sha256(coalesce(s, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)"""
+
+
 def contamination() -> str:
     return f"""
 WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{ALNUM_WORD}') AS w FROM documents),

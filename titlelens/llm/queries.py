@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from titlelens.llm import oracle
 
@@ -51,7 +52,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titlelens.llm.ngram_join import similarity_groups
 
-    return similarity_groups(table(spark, sf_dir, "documents"), n=3, percent=90).drop("text_key")
+    # Ids of the table are unique, so the least id of a class names it.
+    groups = similarity_groups(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return groups.select("doc_id", "n_shingles", "component_id", F.col("class_least").alias("class_id"), "n_links")
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": oracle.quality(),
+    "op3_ngram_jaccard_join": oracle.similar(),
+    "op6_line_dedup": oracle.line_runs(),
     "op7_substring_dedup": oracle.repeats(),
     "op10_decontaminate": oracle.contamination(),
     "op11_merkle_manifest": oracle.merkle(),
