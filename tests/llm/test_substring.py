@@ -66,3 +66,30 @@ def test_given_documents(spark):
     t = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"])
     docs = list(zip(*(c.to_pylist() for c in t.columns), strict=True))
     assert rows(sub.remove_repeats(spark.read.parquet(f"{SF}/documents.parquet"))) == sorted(brute.repeated_windows(docs), key=repr)
+
+
+def test_owners_that_fit_a_task_open_no_windows(spark, monkeypatch):
+    """Only what one task cannot take is spread, whatever else its shard could hold."""
+    kept, cut = {}, sub.cut
+    monkeypatch.setattr(sub, "cut", lambda df, name: kept.setdefault(name, cut(df, name)))
+    monkeypatch.setattr(sub, "TASK_CHARS", 20_000)
+    rng = random.Random(5)
+
+    def group(first, n):  # one passage in n texts, each with words of its own around it: about 800 n characters
+        passage = [f"p{first}-{k}" for k in range(60)]
+        return [(first + k, " ".join([f"a{first + k}-{rng.randrange(99)}" for _ in range(25)] + passage + [f"b{first + k}-{rng.randrange(99)}" for _ in range(25)])) for k in range(n)]
+
+    docs = [d for first in range(0, 600, 100) for d in group(first, 12)]
+    assert sum(len(t) for _, t in docs) > 2 * sub.TASK_CHARS
+    got = rows(sub.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == sorted(brute.repeated_windows(docs), key=repr)
+    assert kept["occurrences"].where("window is not null").count() == 0
+    assert kept["occurrences"].count() == 6 * 11  # a span for each text but the first of its passage
+
+    kept.clear()
+    docs += group(1000, 80)  # more than one task takes
+    got = rows(sub.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == sorted(brute.repeated_windows(docs), key=repr)
+    open_ = kept["occurrences"].where("window is not null")
+    assert open_.count() and not open_.where("doc < 1000").count()
+    assert kept["shards"].where("tasks > 1").count() == 1

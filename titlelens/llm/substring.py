@@ -20,6 +20,8 @@ from titlelens.llm.shingles import WordHasher, mix, split_words
 SHARD_PHRASES = 4000
 #: Characters of the documents that stream through an automaton in one task.
 TASK_CHARS = 8_000_000
+#: A first owner whose documents fill more than one of so many parts of a task has a shard of its own.
+ALONE = 4
 #: Stands for a null id: larger than any other.
 NO_ID = (1 << 63) - 1
 
@@ -83,7 +85,9 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
        its own (the least hash in it); those met in two documents recur.
     2. The recurring phrases of a first owner go, as text, to the automaton
        of one of many shards, and the documents that hold some of them with it.
-       A shard with many documents is spread over tasks that share its phrases.
+       An owner with many documents has a shard of its own, the others share shards that
+       fit a task.  A shard with more documents than that is spread over tasks that
+       share its phrases.
     3. The documents stream through the automata in ascending id.  Windows whose
        sampled phrase occurs are looked up among those seen before; what
        spread shards have seen first in each task is settled by a join.
@@ -99,12 +103,13 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        names = ["doc", "text_key", "n_words", "sha", "phrase"]
+        names = ["doc", "text_key", "n_words", "chars", "sha", "phrase"]
         for batch in batches:
-            n_words, sha, phrases, owners, keys = [], [], [], [], []
+            n_words, chars, sha, phrases, owners, keys = [], [], [], [], [], []
             for doc, text, key in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 words = split_words(text)
                 n_words.append(len(words))
+                chars.append(len(text or ""))
                 sha.append(_sha(words))
                 if len(words) >= size:
                     least = np.unique(window_least(runs(hasher(words), gram), slack + 1))
@@ -112,27 +117,41 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                     owners.append(np.full(len(least), doc))
                     keys.append(np.full(len(least), key))
             n = batch.num_rows
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n_words, pa.int64()), pa.array(sha, pa.string()), pa.nulls(n, pa.int64())], names=names)
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n_words, pa.int64()), pa.array(chars, pa.int64()), pa.array(sha, pa.string()), pa.nulls(n, pa.int64())], names=names)
             if phrases:
                 p = pa.array(np.concatenate(phrases).view(np.int64))
-                yield pa.record_batch([pa.array(np.concatenate(owners), pa.int64()), pa.array(np.concatenate(keys), pa.int64()), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.string()), p], names=names)
+                yield pa.record_batch([pa.array(np.concatenate(owners), pa.int64()), pa.array(np.concatenate(keys), pa.int64()), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.string()), p], names=names)
 
-    made = cut(texts.mapInArrow(sample, "doc long, text_key long, n_words long, sha string, phrase long"), "phrases")
+    made = cut(texts.mapInArrow(sample, "doc long, text_key long, n_words long, chars long, sha string, phrase long"), "phrases")
     each = made.where("phrase is null").select("doc", "text_key", "n_words", "sha")
     phrases = made.where("phrase is not null").select("doc", "text_key", "phrase")
     # Everything goes by (id, text hash): texts that share an id, or have none, are routed each on its own.
     recurring = cut(phrases.groupBy("phrase").agg(F.min(F.struct("doc", "text_key")).alias("first"), F.max("doc").alias("most"))
                     .where("first.doc < most").select("phrase", F.col("first.doc").alias("owner"), F.col("first.text_key").alias("owner_key")), "recurring")
-    shards = max(1, -(-recurring.count() // SHARD_PHRASES))
-    shard_of = lambda doc, key: F.pmod(F.xxhash64(doc, key), F.lit(shards)).alias("shard")
-    routes = (phrases.join(recurring, "phrase").select("doc", "text_key", shard_of("owner", "owner_key")).distinct()
-              .groupBy("doc", "text_key").agg(F.collect_set("shard").alias("shards")))  # at most one for each sampled phrase of the text
-    owned = recurring.groupBy("owner", "owner_key").agg(F.collect_set("phrase").alias("owned"))
+    held_by = cut(phrases.join(recurring, "phrase").select("doc", "text_key", "owner", "owner_key").distinct(), "owners")  # at most one for each sampled phrase of a text
+    # A window that no other document has ends in the task that finds it, if that task has all documents of its phrase's
+    # owner; else it is written for the join.  So an owner's documents stay together as far as one task can take them.
+    sizes = made.where("phrase is null").groupBy(F.col("doc").alias("of"), F.col("text_key").alias("of_key")).agg(F.sum("chars").alias("chars"))
+    weights = cut(held_by.join(sizes, (F.col("doc") == F.col("of")) & (F.col("text_key") == F.col("of_key")))
+                  .groupBy("owner", "owner_key").agg(F.sum("chars").alias("chars")), "weights")
+    alone = weights.where(F.col("chars") * ALONE > TASK_CHARS).select(F.col("owner").alias("alone"), F.col("owner_key").alias("alone_key"))
+    shared = weights.where(F.col("chars") * ALONE <= TASK_CHARS).agg(F.sum("chars")).first()[0] or 0
+    shards = max(1, -(-recurring.count() // SHARD_PHRASES), -(-2 * shared // TASK_CHARS))
+
+    def sharded(owners: DataFrame) -> DataFrame:
+        """With the ``shard`` of each owner; shared ones are numbered from 0."""
+        code = F.xxhash64("owner", "owner_key")
+        own = F.col("alone").isNotNull()
+        return (owners.join(alone, (F.col("owner") == F.col("alone")) & (F.col("owner_key") == F.col("alone_key")), "left")
+                .withColumn("shard", F.when(own, F.lit(shards) + F.pmod(code, F.lit(1 << 62))).otherwise(F.pmod(code, F.lit(shards)))).drop("alone", "alone_key"))
+
+    routes = sharded(held_by).select("doc", "text_key", "shard").distinct().groupBy("doc", "text_key").agg(F.collect_set("shard").alias("shards"))
+    owned = sharded(recurring.groupBy("owner", "owner_key").agg(F.collect_set("phrase").alias("owned"))).withColumnRenamed("shard", "home")
     routes = routes.join(owned, (routes["doc"] == owned["owner"]) & (routes["text_key"] == owned["owner_key"]), "left").select(
-        F.col("doc").alias("to"), F.col("text_key").alias("to_key"), "shards", "owned")
+        F.col("doc").alias("to"), F.col("text_key").alias("to_key"), "shards", "owned", "home")
     with_text = texts.where("text is not null")
     held = cut(with_text.join(routes, (with_text["doc"] == routes["to"]) & (with_text["text_key"] == routes["to_key"]))
-               .select("doc", "text_key", "text", "shards", "owned"), "documents-with-repeats")
+               .select("doc", "text_key", "text", "shards", "owned", "home"), "documents-with-repeats")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -147,7 +166,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                 shard += [to] * len(at)
             yield pa.record_batch([pa.array(shard, pa.int64()), pa.array(phrase, pa.binary())], names=["shard", "phrase"])
 
-    spelled = (held.where("owned is not null").select("text", "owned", shard_of("doc", "text_key"))
+    spelled = (held.where("owned is not null").select("text", "owned", "home")
                .mapInArrow(spell, "shard long, phrase binary").distinct())
     routed = held.select("doc", "text_key", "text", F.explode("shards").alias("shard"))
     load = routed.groupBy("shard").agg(F.ceil(F.sum(F.char_length("text")) / TASK_CHARS).cast("int").alias("tasks"))
