@@ -5,6 +5,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
@@ -94,6 +95,36 @@ def test_lower_bound_never_exceeds_a_packing():
     assert lower_bound(np.array([51] * 7), 100) == 7 and lower_bound(np.array([34] * 6), 100) == 3
 
 
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    # the texts of a whole scan task at once took an executor beyond its memory
+    from titlelens.llm import ngram_join, packing
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "concat('word ', id % 50) AS text")
+    most = {}
+
+    def watch(module):
+        def watched(df, name, cut=module.cut):
+            sizes = docs.mapInArrow(lambda batches: (b.slice(0, 1).set_column(0, "doc_id", pa.array([b.num_rows])) for b in batches), docs.schema)
+            most[name] = max(r.doc_id for r in sizes.collect())
+            return cut(df, name)
+
+        monkeypatch.setattr(module, "cut", watched)
+
+    watch(packing)
+    watch(ngram_join)
+    before = spark.conf.get(key, None)
+    try:
+        for mine, inside, outside in ((None, 500, 2500), ("0", 500, 2500), ("100", 100, 100)):
+            spark.conf.unset(key) if mine is None else spark.conf.set(key, mine)
+            most.clear()
+            assert packing.pack(docs, vocabulary()).count() == ngram_join.similarity_groups(docs).count() == 2500
+            assert [most[k] for k in ("pieces", "sets", "prefixes", "exact")] == [inside] * 4
+            assert most["classes"] == outside and spark.conf.get(key, None) == mine
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_token_files_and_packing_of_odd_rows(spark):
     from titlelens.llm.packing import pack
     from titlelens.llm.token_files import TokenFile, token_files

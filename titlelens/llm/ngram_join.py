@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlelens.llm.common import connected_components, cut, discard, salted, text_key
+from titlelens.llm.common import connected_components, cut, discard, salted, small_batches, text_key
 from titlelens.llm.shingles import WordHasher, ngrams, split_words
 
 #: Shingles are counted in this many buckets: a table of fixed size, whatever the corpus.
@@ -25,6 +25,8 @@ HOT_CLASS = 1000
 BLOCK = 4_000_000
 #: Bits that mark the ids of wanted documents: a table of 2 MB, whatever their number.
 MARKS = 1 << 24
+#: Texts that a task hands to Python at a time.
+BATCH_ROWS = 500
 
 
 def _buckets(s: np.ndarray) -> np.ndarray:
@@ -288,7 +290,8 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
             k = at[i:i + 10_000]
             yield pa.record_batch([none[:len(k)], none[:len(k)], none[:len(k)], blank[:len(k)], blank[:len(k)], pa.array(k), pa.array(count[k])], names=names)
 
-    made = cut(texts.mapInArrow(first_pass, "doc_id long, text_key long, n long, digest binary, profile binary, bucket long, hits long"), "sets")
+    with small_batches(spark, BATCH_ROWS):
+        made = cut(texts.mapInArrow(first_pass, "doc_id long, text_key long, n long, digest binary, profile binary, bucket long, hits long"), "sets")
     each = made.where("bucket is null").select("doc_id", "text_key", "n", "digest", F.xxhash64("digest").alias("cls"), "profile")
     count = np.zeros(BUCKETS, np.int64)
     for r in made.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toArrow().to_batches():  # at most BUCKETS rows
@@ -326,7 +329,8 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
                                       names=["gram", "place", "digest"])
 
     prefix = texts.select("text").mapInArrow(prefixes, "gram long, place long, digest binary").select("gram", "place", F.xxhash64("digest").alias("cls"))
-    prefix = cut(prefix, "prefixes")
+    with small_batches(spark, BATCH_ROWS):
+        prefix = cut(prefix, "prefixes")
     common = prefix.groupBy("gram").agg(F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("k")).where("a < b")
     pairs = prefix.join(common, "gram").select("gram", "cls", "place", "a", "k")
     pairs = cut(pairs, "shared-prefixes")
@@ -432,7 +436,8 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     if listed:
         a, b = F.xxhash64("a"), F.xxhash64("b")
         return made.select(F.least(a, b).alias("class_a"), F.greatest(a, b).alias("class_b"))
-    made = cut(made, "exact")
+    with small_batches(spark, BATCH_ROWS):
+        made = cut(made, "exact")
     n_links = made.where("b is null").groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("links"))
     linked = connected_components(made.where("b is not null").select("a", "b"), "links")
     groups = linked.select(F.col("node").alias("digest"), "component").join(classes.select("digest", "least"), "digest")

@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlelens.llm.common import cut
+from titlelens.llm.common import cut, small_batches
 from titlelens.llm.encoder import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 _PACKED = _PIECES + ", part int, bin long, at long, fill long"
+#: Texts that an encoding task holds at a time.
+BATCH_ROWS = 500
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
@@ -139,7 +141,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
     Null texts are empty and still hold the end id; null ids stay null;
     repeated rows are packed each; an empty table packs to nothing.
     """
-    pieces = cut(cut_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        pieces = cut(cut_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
     whole = pieces.where(F.col("length") == capacity)
     open_ = pieces.where(F.col("length") < capacity)
     n = open_.count()
