@@ -116,6 +116,57 @@ def test_trie_finds_what_scanning_finds(percent):
             assert set(trie.similar(x, mask, percent).tolist()) == want
 
 
+def unrelated_sets(rng, k, size, shared):
+    """Sets of random shingles, all with the same ``shared`` ones."""
+    common = rng.integers(0, 1 << 64, shared, dtype=np.uint64)
+    return [np.unique(np.r_[common, rng.integers(0, 1 << 64, size - shared, dtype=np.uint64)]) for _ in range(k)]
+
+
+def may_link(sets, percent):
+    size = np.array([len(s) for s in sets])
+    return nj._may_link(size, np.zeros(len(sets), np.int64), [nj._profile(s) for s in sets], [nj._sketch(s) for s in sets], percent)
+
+
+def test_long_unrelated_documents_are_no_candidates():
+    # the profiles of long sets are alike, so that one chance shingle made all of them one component
+    rng = np.random.default_rng(8)
+    sets = unrelated_sets(rng, 40, 6000, 5) + unrelated_sets(rng, 40, 40_000, 5)
+    gram = np.repeat([1, 2], 40)
+    left, right = nj._candidate_edges(gram, may_link(sets, 80))
+    assert len(left) == len(right) == 0
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_pairs_that_link_are_candidates(percent):
+    rng = np.random.default_rng(percent)
+    for size in (1, 2, 7, 50, 300, 6000):
+        for _ in range(40):
+            # as unlike as links allow, in parts of each set or of the longer one only
+            union = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+            both = -(-size * percent // 100)
+            for middle in (both + (size - both) // 2, size):
+                sets = [np.unique(union[:middle]), np.unique(np.r_[union[:both], union[middle:]])]
+                for gram in ([3, 3], [1, 2]):
+                    left, right = nj._candidate_edges(np.array(gram), may_link(sets, percent))
+                    assert list(zip(left.tolist(), right.tolist(), strict=True)) == [(0, 1)] * (gram[0] == gram[1])
+    sets = unrelated_sets(rng, 3, 200, 0)
+    sets = [s for s in sets for _ in range(4)]
+    left, right = nj._candidate_edges(np.zeros(12, np.int64), may_link(sets, percent))
+    assert len(left) == 9 and (left // 4 == right // 4).all()  # three groups of four, spanned
+
+
+def test_partnered_rows_against_all_pairs():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        n, percent = int(rng.integers(1, 40)), int(rng.choice([50, 80, 90, 100]))
+        gram, size = np.sort(rng.integers(0, 4, n)), rng.integers(1, 60, n)
+        at = (rng.random(n) ** 2 * size * 0.3).astype(np.int64)
+        rest = size - at
+        links = (100 + percent) * np.minimum(rest[:, None], rest) >= percent * (size[:, None] + size)
+        links &= (gram[:, None] == gram) & ~np.eye(n, dtype=bool)
+        assert np.array_equal(nj._partnered(gram, size, at, percent), links.any(axis=1))
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     edges = [(k, k + 1) for k in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)] + [(500, 500 + k) for k in range(1, 80)]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,10 @@ from titlelens.llm.shingles import WordHasher, ngrams, split_words
 BUCKETS = 1 << 18
 #: Bytes of the coarse profile of a set: how many shingles fall into each bin.
 BINS = 128
+#: Bytes of the sketch of a set, one for each equal part of the hash range.
+LANES = 128
+#: Natural logarithm of the chance, 1e-20, with which a sketch may hide a pair that links: less than that of equal hashes.
+NEVER = -46.0
 #: An n-gram in more prefixes than this joins them without a look at profiles.
 HOT = 4000
 #: Rows of a class beyond which they are dealt out over tasks when its results are joined to them.
@@ -39,6 +44,32 @@ def _profile(s: np.ndarray) -> bytes:
     return count.astype(np.uint8).tobytes() if count.max(initial=0) < 256 else b""
 
 
+_LANE_STARTS = np.arange(LANES, dtype=np.uint64) << np.uint64(64 - 7)
+
+
+def _sketch(s: np.ndarray) -> bytes:
+    """Of every lane a byte of its least shingle; 0 if it has none. Lanes of two sets agree, by chance apart,
+    where the least shingle of both together is a common one: as many as their Jaccard similarity says, whatever their size."""
+    at = np.searchsorted(s, _LANE_STARTS)
+    filled = at < np.append(at[1:], len(s))
+    out = np.zeros(LANES, np.uint8)
+    out[filled] = s[at[filled]] % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+@lru_cache
+def _fewest(percent: int) -> np.ndarray:
+    """For every number of lanes that two sets fill together, the fewest that agree if they link.  The shingles seen are
+    drawn without repeats from those of both, so Chernoff's bound holds for the number of common ones among them."""
+    out, p = np.zeros(LANES + 1, np.int64), percent / 100
+    for k in range(1, LANES + 1):
+        q = np.arange(k) / k
+        with np.errstate(divide="ignore", invalid="ignore"):
+            chance = -k * (np.where(q > 0, q * np.log(q / p), 0) + (1 - q) * np.log((1 - q) / (1 - p)))
+        out[k] = np.count_nonzero((q < p) & (chance <= NEVER))
+    return out
+
+
 def _need(percent: int, total: np.ndarray | int) -> np.ndarray | int:
     """``(100 + percent) * overlap`` must reach this for sets of ``total`` shingles together."""
     return percent * total
@@ -163,43 +194,67 @@ def links_of(sets: list[np.ndarray], count: np.ndarray, percent: int) -> Iterato
             yield i, found, new
 
 
-def _candidate_edges(sizes: np.ndarray, profiles: list[bytes], percent: int) -> list[tuple[int, int]]:
-    """Edges that span the candidate pairs of one prefix n-gram: lengths fit, and the
-    profiles' common count, which is at least the overlap, reaches what is needed."""
-    known = np.array([len(p) == BINS for p in profiles])
+def _may_link(size: np.ndarray, at: np.ndarray, profiles: list[bytes], sketches: list[bytes], percent: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Tells which of the pairs of rows ``i, j`` of one n-gram can link, if the n-gram is the first that they share: what
+    follows it in the shorter rest, lanes that agree, and the profiles' common count, which is at least the overlap."""
+    rest, fewest = size - at, _fewest(percent)
+    known = np.array([len(p) == BINS for p in profiles], bool)
     table = np.frombuffer(b"".join(p if len(p) == BINS else b"\xff" * BINS for p in profiles), np.uint8).reshape(-1, BINS)
-    out, rest, queue = [], np.arange(len(sizes)), []
-    while len(rest):
-        if not queue:
-            queue.append(int(rest[0]))
-            rest = rest[1:]
-        i = queue.pop()
-        bound = np.minimum(table[rest], table[i]).sum(axis=1, dtype=np.int64)
-        bound = np.where(known[rest] & known[i], bound, 1 << 40)
-        bound = np.minimum(bound, np.minimum(sizes[rest], sizes[i]))
-        ok = (100 + percent) * bound >= _need(percent, sizes[rest] + sizes[i])
-        for k in rest[ok].tolist():
-            out.append((i, k))
-            queue.append(k)
-        rest = rest[~ok]
-    return out
+    lanes = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, LANES)
+
+    def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        ok = np.flatnonzero((100 + percent) * np.minimum(rest[i], rest[j]) >= _need(percent, size[i] + size[j]))
+        a, b = lanes[i[ok]], lanes[j[ok]]
+        filled = np.count_nonzero(a | b, axis=1)
+        ok = ok[np.count_nonzero((a == b) & (a > 0), axis=1) >= fewest[filled]]
+        i, j = i[ok], j[ok]
+        bound = np.where(known[i] & known[j], np.minimum(table[i], table[j]).sum(axis=1, dtype=np.int64), 1 << 40)
+        return ok[(100 + percent) * bound >= _need(percent, size[i] + size[j])]
+
+    return test
+
+
+def _candidate_edges(gram: np.ndarray, may_link: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that span the candidate pairs of every n-gram; rows are sorted by n-gram."""
+    cuts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
+    length = np.diff(cuts)
+    two = cuts[:-1][length == 2]
+    two = two[may_link(two, two + 1)]
+    left, right = [two], [two + 1]
+    for a, n in zip(cuts[:-1][length > 2].tolist(), length[length > 2].tolist(), strict=True):
+        rest, queue = np.arange(a, a + n), []
+        while len(rest):
+            if not queue:
+                queue.append(int(rest[0]))
+                rest = rest[1:]
+            i = queue.pop()
+            hit = may_link(np.full(len(rest), i), rest)
+            if len(hit):
+                left.append(np.full(len(hit), i))
+                right.append(rest[hit])
+                queue += rest[hit].tolist()
+                rest = np.delete(rest, hit)
+    return np.concatenate(left), np.concatenate(right)
 
 
-def _partnered(gram: np.ndarray, cls: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows, sorted by n-gram, have a partner under theirs. If the n-gram is the
+def _partnered(gram: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows, sorted by n-gram and each of another class under it, have a partner there. If the n-gram is the
     first that two sets share, their overlap is at most what follows it in the shorter rest."""
-    rest = size - at
-    fits = lambda i, j: ((100 + percent) * np.minimum(rest[i], rest[j]) >= _need(percent, size[i] + size[j])) & (cls[i] != cls[j])
+    room = (100 + percent) * (size - at) - percent * size  # rows link only if the room of each reaches the share of the other
+    share = percent * size
     cuts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
     length = np.diff(cuts)
     keep = np.zeros(len(gram), bool)
     two = cuts[:-1][length == 2]
-    both = fits(two, two + 1)
-    keep[two] = keep[two + 1] = both
+    keep[two] = keep[two + 1] = (room[two] >= share[two + 1]) & (room[two + 1] >= share[two])
     for a, n in zip(cuts[:-1][length > 2].tolist(), length[length > 2].tolist(), strict=True):
-        for b in range(a, a + n, 256):  # 256 rows against all of theirs at a time
-            some, every = np.arange(b, min(b + 256, a + n)), np.arange(a, a + n)
-            keep[some] = fits(some[:, None], every[None, :]).any(axis=1)
+        order = a + np.argsort(size[a:a + n], kind="stable")
+        r, s = room[order], share[order]
+        # The largest and second largest room of the rows whose share fits; a row may be one of these itself.
+        most = np.maximum.accumulate(r)
+        second = np.maximum.accumulate(np.r_[r[0] - (1 << 40), np.minimum(most[:-1], r[1:])])
+        fit = np.searchsorted(s, r, side="right") - 1
+        keep[order] = (fit >= 0) & (np.where(r >= s, second[fit], most[fit]) >= s)
     return keep
 
 
@@ -273,32 +328,32 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, count = WordHasher(), np.zeros(BUCKETS, np.int64)
-        names = ["doc_id", "text_key", "n", "digest", "profile", "bucket", "hits"]
+        names = ["doc_id", "text_key", "n", "digest", "profile", "sketch", "bucket", "hits"]
         for batch in batches:
             rows = []
             for s in sets_of(batch.column(1), hasher):
                 np.add.at(count, _buckets(s), 1)
-                rows.append((len(s), _digest(s), _profile(s)))
-            size, digest, profile = zip(*rows, strict=True) if rows else ((), (), ())
+                rows.append((len(s), _digest(s), _profile(s), _sketch(s)))
+            size, digest, profile, sketch = zip(*rows, strict=True) if rows else ((), (), (), ())
             none = pa.nulls(len(rows), pa.int64())
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
-                                   pa.array(profile, pa.binary()), none, none], names=names)
+                                   pa.array(profile, pa.binary()), pa.array(sketch, pa.binary()), none, none], names=names)
         at = np.flatnonzero(count)
         none = pa.nulls(len(at), pa.int64())
         blank = pa.nulls(len(at), pa.binary())
         for i in range(0, len(at), 10_000):
             k = at[i:i + 10_000]
-            yield pa.record_batch([none[:len(k)], none[:len(k)], none[:len(k)], blank[:len(k)], blank[:len(k)], pa.array(k), pa.array(count[k])], names=names)
+            yield pa.record_batch([*[none[:len(k)]] * 3, *[blank[:len(k)]] * 3, pa.array(k), pa.array(count[k])], names=names)
 
     with small_batches(spark, BATCH_ROWS):
-        made = cut(texts.mapInArrow(first_pass, "doc_id long, text_key long, n long, digest binary, profile binary, bucket long, hits long"), "sets")
-    each = made.where("bucket is null").select("doc_id", "text_key", "n", "digest", F.xxhash64("digest").alias("cls"), "profile")
+        made = cut(texts.mapInArrow(first_pass, "doc_id long, text_key long, n long, digest binary, profile binary, sketch binary, bucket long, hits long"), "sets")
+    each = made.where("bucket is null").select("doc_id", "text_key", "n", "digest", F.xxhash64("digest").alias("cls"), "profile", "sketch")
     count = np.zeros(BUCKETS, np.int64)
     for r in made.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toArrow().to_batches():  # at most BUCKETS rows
         count[r.column(0).to_numpy()] = r.column(1).to_numpy()
     shared = spark.sparkContext.broadcast(count.astype(np.int64))
     classes = cut(each.where("n > 0").groupBy("digest", "cls").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("least"), F.count("*").alias("members"),
-                                                                  F.first("n").alias("n"), F.first("profile").alias("profile")), "classes")
+                                                                  F.first("n").alias("n"), F.first("profile").alias("profile"), F.first("sketch").alias("sketch")), "classes")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, count = WordHasher(), set(), shared.value
@@ -337,38 +392,34 @@ def similarity_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: st
     discard(prefix)
     # A hot n-gram joins all that have it to the least of them; the exact step decides.
     hot = pairs.where((F.col("k") > HOT) & (F.col("a") != F.col("cls"))).select("a", F.col("cls").alias("b"))
-    facts = classes.select("cls", "n", "profile").dropDuplicates(["cls"])
+    facts = classes.select("cls", "profile", "sketch").dropDuplicates(["cls"])
     cool = pairs.where(F.col("k") <= HOT).select("gram", "cls", "place")
 
     def partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
             gram, place = table.column(0).to_numpy(), table.column(2).to_numpy()
-            keep = _partnered(gram, table.column(1).to_numpy(), place >> 24, place & 0xFFFFFF, percent)
-            yield from table.filter(pa.array(keep)).to_batches()
+            cls = table.column(1).to_numpy()
+            one = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (cls[1:] != cls[:-1])])  # copies of a text may come from several tasks
+            gram, place = gram[one], place[one]
+            keep = _partnered(gram, place >> 24, place & 0xFFFFFF, percent)
+            yield from table.take(pa.array(one[keep])).to_batches()
 
-    cool_rows = cut(cool.repartition("gram").sortWithinPartitions("gram").mapInArrow(partnered, "gram long, cls long, place long"), "partnered-prefixes")
-    cool = cool_rows.select("gram", "cls").join(facts, "cls")
+    cool_rows = cut(cool.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(partnered, "gram long, cls long, place long"), "partnered-prefixes")
+    cool = cool_rows.join(facts, "cls")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emitted: set[tuple[int, int]] = set()
         for table in _whole_groups(batches):
-            gram = table.column(0).to_numpy()
-            cls, size, profile = table.column(1).to_numpy(), table.column(2).to_numpy(), table.column(3).to_pylist()
-            cuts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
-            fresh = set()
-            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if j - i > 1:
-                    own = cls[i:j].tolist()
-                    for a, b in _candidate_edges(size[i:j], profile[i:j], percent):
-                        if own[a] != own[b]:
-                            fresh.add((min(own[a], own[b]), max(own[a], own[b])))
+            gram, cls, place = (table.column(k).to_numpy() for k in range(3))
+            a, b = _candidate_edges(gram, _may_link(place >> 24, place & 0xFFFFFF, table.column(3).to_pylist(), table.column(4).to_pylist(), percent))
+            fresh = set(zip(np.minimum(cls[a], cls[b]).tolist(), np.maximum(cls[a], cls[b]).tolist(), strict=True))
             fresh -= emitted
             if fresh:
                 emitted = emitted | fresh if len(emitted) < 500_000 else fresh
                 a, b = zip(*fresh, strict=True)
                 yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    met = (cool.select("gram", "cls", "n", "profile").repartition("gram").sortWithinPartitions("gram", "cls")
+    met = (cool.select("gram", "cls", "place", "profile", "sketch").repartition("gram").sortWithinPartitions("gram", "cls")
            .mapInArrow(candidates, "a long, b long"))
     component = connected_components(met.unionByName(hot), "candidates")
     discard(pairs, cool_rows)
